@@ -141,12 +141,7 @@ def dim_station_bridged(feed: DataFrame) -> DataFrame:
     return with_surrogate_key(rows, "station_key", order).drop("_id")
 
 
-def dim_location_zip_city(stations: DataFrame, registrations: DataFrame) -> DataFrame:
-    """(zip, city) locations seen in either source.
-
-    The largest state and county text wins.  A maximum ignores repeats, so the sources go
-    straight into one aggregation and nothing is made distinct before.
-    """
+def _locations(stations: DataFrame, registrations: DataFrame) -> DataFrame:
     from_stations = stations.select(
         F.trim("zip").alias("zip"),
         norm_text("city").alias("city"),
@@ -154,8 +149,21 @@ def dim_location_zip_city(stations: DataFrame, registrations: DataFrame) -> Data
         F.lit(None).cast("string").alias("county"),
     )
     both = from_stations.unionByName(registrations.select("zip", "city", "state", "county"))
-    known = both.filter((F.length("zip") == _ZIP_LENGTH) & F.col("city").isNotNull())
-    merged = known.groupBy("zip", "city").agg(
+    return both.filter((F.length("zip") == _ZIP_LENGTH) & F.col("city").isNotNull())
+
+
+def location_variants(stations: DataFrame, registrations: DataFrame) -> DataFrame:
+    """Every distinct spelling of a location in either source; NULLs count as equal."""
+    return _locations(stations, registrations).distinct()
+
+
+def dim_location_zip_city(stations: DataFrame, registrations: DataFrame) -> DataFrame:
+    """(zip, city) locations seen in either source.
+
+    The largest state and county text wins.  A maximum ignores repeats, so the sources go
+    straight into one aggregation and nothing is made distinct before.
+    """
+    merged = _locations(stations, registrations).groupBy("zip", "city").agg(
         F.max("state").alias("state"), F.max("county").alias("county")
     )
     return with_surrogate_key(merged, "location_key", ["zip", "city"])

@@ -80,6 +80,11 @@ class Marts:
     def _large(self, name: str, df: DataFrame, layer: str = "marts") -> DataFrame:
         return df if self.layers is None else self.layers.replace(df, f"{layer}.{name}")
 
+    def _fact(self, name: str, df: DataFrame, key: str) -> DataFrame:
+        """Only stored facts have an identity key: nothing joins on it."""
+        keyed = df if self.layers is None else facts.with_identity_key(df, key)
+        return self._large(name, keyed)
+
     def _calendar(self, name: str, df: DataFrame) -> DataFrame:
         """Calendars are cheap to make and bounded by themselves, so they stay plans too."""
         return self._large(name, df)
@@ -132,14 +137,13 @@ class Marts:
 
     @cached_property
     def fact_session_matched(self) -> DataFrame:
-        """Without a key of its own; `facts.with_identity_key` adds one."""
         df = facts.fact_session_matched(self.raw.sessions, self.dim_station_matched)
-        return self._large("fact_session_matched", df)
+        return self._fact("fact_session_matched", df, "session_key")
 
     @cached_property
     def fact_station_daily_snapshot(self) -> DataFrame:
         df = facts.fact_station_daily_snapshot(self.fact_session_matched, self.dim_station_matched)
-        return self._large("fact_station_daily_snapshot", df)
+        return self._fact("fact_station_daily_snapshot", df, "snapshot_key")
 
     # --- zip and city generation --------------------------------------------------------
 

@@ -63,7 +63,7 @@ def read_positional(
     with_corrupt = T.StructType([*strings(names).fields, T.StructField(_CORRUPT, T.StringType())])
     rows = (
         _reader(spark, multiline, trim, header)
-        .options(enforceSchema=True, columnNameOfCorruptRecord=_CORRUPT)
+        .options(enforceSchema=True, columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
         .schema(with_corrupt)
         .csv(path)
     )
