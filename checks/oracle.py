@@ -155,8 +155,9 @@ RELATIONS: dict[str, str] = {
             revenue, session_date,
             CASE WHEN session_date >= DATE '1996-01-01' AND session_date <= DATE '2001-12-31'
                  THEN strftime(session_date, '%Y%m%d')::INTEGER END AS date_key
-        FROM r_sessions
-        JOIN stations_b s ON s.station_key = (station - 1) % (SELECT count(*) FROM stations_b) + 1
+        FROM (SELECT *, (station - 1) % (SELECT count(*) FROM stations_b) + 1 AS wrapped
+              FROM r_sessions)
+        JOIN stations_b s ON s.station_key = wrapped
         LEFT JOIN places USING (zip, city) LEFT JOIN markets m ON m.zip = s.zip
         WHERE session_date IS NOT NULL""",
     "year_span": """

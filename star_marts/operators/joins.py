@@ -1,7 +1,12 @@
-"""Foreign-key lookups that hold up when one key has a large share of the rows."""
+"""Foreign-key lookups that hold up when one key has a large share of the rows.
+
+Not needed after a roll-up by the foreign key: that leaves one row per key, and a plain join
+then re-uses the partitioning of the roll-up.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,21 +18,23 @@ _SALTS = 64
 
 
 def size_in_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, None where the session cannot tell."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        return int(plan.stats().sizeInBytes().toString())
-    except AttributeError:
+    """The optimizer's size estimate, None for a session that does not show its plans."""
+    if not hasattr(df, "_jdf"):
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _fits_broadcast(df: DataFrame) -> bool:
-    spark = df.sparkSession
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) \
-        if text != "-1" else -1
+    """The test by which the optimizer itself decides to broadcast a join side."""
     size = size_in_bytes(df)
-    return size is not None and size <= limit
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+    return size is not None and size <= _bytes(limit)
+
+
+def _bytes(setting: str) -> int:
+    """'10485760b', '64MB', '1g' or '-1' as a number of bytes."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << (10 * " kmgtp".index(unit or " "))
 
 
 def lookup_join(

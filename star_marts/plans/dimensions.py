@@ -94,7 +94,7 @@ def dim_station_matched(
     # Both lookups hang on the zip: resolve zip -> county -> location before any station moves.
     counties = locations.select(F.col("county_name").alias("county"), "location_key")
     places = stage(
-        lookup_join(zips, counties, "county", "left").select("zip", "county", "location_key"), "places"
+        zips.join(counties, "county", "left").select("zip", "county", "location_key"), "places"
     )
     kept = stations.filter((F.col("fuel_type_code") == fuel) & F.col("id").isNotNull()).select(
         F.col("id").alias("station_id"),

@@ -57,9 +57,7 @@ def station_openings_by_county_year(
         .groupBy("zip", "year")
         .agg(F.count("*").alias("n"))
     )
-    return lookup_join(opened, zips, "zip", "inner").groupBy("county", "year").agg(
-        F.sum("n").alias("n")
-    )
+    return opened.join(zips, "zip").groupBy("county", "year").agg(F.sum("n").alias("n"))
 
 
 def fact_market_demand(
@@ -197,7 +195,7 @@ def fact_station_daily_snapshot(sessions: DataFrame, stations: DataFrame) -> Dat
     ports = stations.select("station_key", "total_port_count")
     minutes = F.col("_minutes").cast("decimal(18,0)")
     capacity = (F.col("total_port_count").cast("bigint") * _MINUTES_PER_DAY).cast("decimal(18,0)")
-    return lookup_join(days, ports, "station_key", "inner").select(
+    return days.join(ports, "station_key").select(
         "station_key",
         "date_key",
         "location_key",

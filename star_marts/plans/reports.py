@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from star_marts import fixed_values as fixed
 from star_marts.functions import half_up_ratio, money_text, tier_label
-from star_marts.operators import lookup_join, top_k
+from star_marts.operators import top_k
 
 
 def _mean(total: str, count: str, scale: int) -> Column:
@@ -33,10 +33,8 @@ def underserved_markets(
         (F.col("station_count_cum") > min_stations)
         & (F.col("ev_registrations_cum") > min_vehicles)
     ).join(dates.filter(F.col("year") == year).select("date_key"), "date_key")
-    named = lookup_join(
-        in_year,
-        locations.select("location_key", "county_name", "region", "median_income"),
-        "location_key", "inner",
+    named = in_year.join(
+        locations.select("location_key", "county_name", "region", "median_income"), "location_key"
     )
     top = top_k(named, "ev_per_station", k, "county_name")
     return top.select(
@@ -59,7 +57,7 @@ def regional_growth(
         years, "date_key"
     )
     return (
-        lookup_join(in_range, locations.select("location_key", "region"), "location_key", "inner")
+        in_range.join(locations.select("location_key", "region"), "location_key")
         .groupBy("region", "year")
         .agg(
             F.sum("new_ev_registrations").alias("new_evs_added"),
@@ -93,9 +91,7 @@ def county_ports(stations: DataFrame, locations: DataFrame, k: int = 10) -> Data
         .groupBy("location_key")
         .agg(F.count("*").alias("n"), F.sum("total_port_count").alias("ports"))
     )
-    named = lookup_join(
-        per_location, locations.select("location_key", "county_name"), "location_key", "inner"
-    )
+    named = per_location.join(locations.select("location_key", "county_name"), "location_key")
     counts = named.groupBy("county_name").agg(
         F.sum("n").alias("station_count"), F.sum("ports").alias("total_ports")
     )
@@ -114,7 +110,7 @@ def revenue_by_network(sessions: DataFrame, stations: DataFrame, k: int = 10) ->
         F.sum("revenue_per_kwh").alias("prices"),
         F.count("revenue_per_kwh").alias("priced"),
     )
-    named = lookup_join(per_station, stations.select("station_key", "ev_network"), "station_key", "inner")
+    named = per_station.join(stations.select("station_key", "ev_network"), "station_key")
     networks = named.groupBy("ev_network").agg(
         F.sum("n").alias("session_count"),
         F.sum("kwh").alias("total_kwh"),
@@ -150,9 +146,7 @@ def top_stations_lifetime(snapshot: DataFrame, stations: DataFrame, k: int = 10)
         F.sum("utilization_rate_pct").alias("rates"),
         F.count("utilization_rate_pct").alias("rated"),
     )
-    named = lookup_join(
-        per_station, stations.select("station_key", "station_name", "city"), "station_key", "inner"
-    )
+    named = per_station.join(stations.select("station_key", "station_name", "city"), "station_key")
     merged = named.groupBy("station_name", "city").agg(
         F.sum("days").alias("active_days"),
         F.sum("n").alias("lifetime_sessions"),
@@ -171,10 +165,8 @@ def top_stations_revenue(sessions: DataFrame, stations: DataFrame, k: int = 10)
         F.sum("revenue_usd").alias("revenue"),
         F.sum("kwh_delivered").alias("kwh"),
     )
-    named = lookup_join(
-        per_station,
-        stations.select("station_key", "station_name", "network", "city"),
-        "station_key", "inner",
+    named = per_station.join(
+        stations.select("station_key", "station_name", "network", "city"), "station_key"
     )
     merged = named.groupBy("station_name", "network", "city").agg(
         F.sum("n").alias("total_sessions"),
@@ -219,9 +211,7 @@ def evs_per_station(markets: DataFrame, stations: DataFrame, k: int = 10) -> Dat
         .agg(F.count("station_key").alias("n"))
     )
     merged = (
-        lookup_join(
-            per_zip, markets.select("zip", "city", "county", "total_ev_registrations"), "zip", "inner"
-        )
+        per_zip.join(markets.select("zip", "city", "county", "total_ev_registrations"), "zip")
         .groupBy("city", "county", "total_ev_registrations")
         .agg(F.sum("n").alias("station_count"))
         .filter(F.col("station_count") > 0)
