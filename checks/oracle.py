@@ -232,8 +232,10 @@ QUERIES: dict[str, str] = {
         SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_rank, o_orderkey
         FROM orders""",
     "identity_keys": """
-        SELECT count(*) AS row_count, 1::BIGINT AS min_key, count(*) AS max_key,
-            count(*) AS distinct_keys FROM matched""",
+        SELECT n AS row_count, 1::BIGINT AS min_key, n AS max_key,
+            (n::HUGEINT * (n + 1) // 2)::DOUBLE AS key_sum,
+            (SELECT bit_xor(k) FROM range(1, n + 1) AS r(k)) AS key_xor
+        FROM (SELECT count(*) AS n FROM matched)""",
     "new_registrations_by_county_year": "SELECT county, year, n AS new_evs FROM new_evs",
     "station_openings_by_county_year": """
         SELECT county, year, n AS new_stations FROM openings""",

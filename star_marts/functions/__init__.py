@@ -14,10 +14,12 @@ from star_marts.functions.clean import (
     try_date,
     try_number,
     try_us_date,
+    try_whole,
 )
 
 __all__ = [
     "calendar_covering", "date_key", "dim_date", "five_digit_code", "half_up_ratio",
     "label_by_members", "money_text", "norm_text", "normalize_zip", "not_blank",
     "tier_label", "try_date", "try_number", "try_us_date",
+    "try_whole",
 ]

@@ -30,14 +30,23 @@ def try_number(c: Column | str, precision: int = 38, scale: int = 0) -> Column:
     return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
+def try_whole(c: Column | str, to: str = "int") -> Column:
+    """Text to a rounded whole number of type `to`, NULL when it is none or does not fit.
+
+    Plain digits, the usual case, are read directly; only the rest goes through a decimal.
+    """
+    c = _col(c)
+    return F.coalesce(c.try_cast(to), try_number(c).try_cast(to))
+
+
 def try_date(c: Column | str) -> Column:
     """Text to date: ISO first, then month/day/year, else NULL.
 
-    A bare year is not a date here, although a plain cast would accept it.
+    A bare year or month is not a date here, although a plain cast would accept it.
     """
     c = F.trim(_col(c))
-    iso = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), c.try_cast("date"))
-    return F.coalesce(iso, try_us_date(c))
+    two_dashes = F.substring_index(c, "-", 2) != c
+    return F.coalesce(F.when(two_dashes, c.try_cast("date")), try_us_date(c))
 
 
 def try_us_date(c: Column | str) -> Column:

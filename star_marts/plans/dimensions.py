@@ -20,6 +20,7 @@ from star_marts.functions import (
     not_blank,
     try_date,
     try_number,
+    try_whole,
 )
 from star_marts.operators import (
     lookup_join,
@@ -83,7 +84,7 @@ def dim_station_matched(
 ) -> DataFrame:
     """Stations of one fuel with county, location key, port total and active flag."""
     ports = {
-        level: try_number(column).try_cast("int")
+        level: try_whole(column)
         for level, column in {
             "level1_count": "ev_level1_evse_num",
             "level2_count": "ev_level2_evse_num",
@@ -129,9 +130,9 @@ def dim_station_bridged(feed: DataFrame) -> DataFrame:
         F.trim("ZIP").alias("zip"),
         norm_text("CITY").alias("city"),
         norm_text("STATE").alias("state"),
-        try_number("EVLEVEL1EVSENUM").try_cast("int").alias("level1_ports"),
-        try_number("EVLEVEL2EVSENUM").try_cast("int").alias("level2_ports"),
-        try_number("EVDCFASTCOUNT").try_cast("int").alias("dc_fast_ports"),
+        try_whole("EVLEVEL1EVSENUM").alias("level1_ports"),
+        try_whole("EVLEVEL2EVSENUM").alias("level2_ports"),
+        try_whole("EVDCFASTCOUNT").alias("dc_fast_ports"),
         try_number("LATITUDE", 10, 6).alias("latitude"),
         try_number("LONGITUDE", 10, 6).alias("longitude"),
         F.col("STATUSCODE").alias("status_code"),

@@ -14,6 +14,7 @@ from star_marts.functions import (
     try_date,
     try_number,
     try_us_date,
+    try_whole,
 )
 from star_marts.operators import (
     densify,
@@ -37,7 +38,7 @@ def registrations_by_county_year(
         & (try_us_date("reg_valid_date") >= F.lit(since))
     ).select(
         norm_text("county").alias("county"),
-        try_number("model_year").try_cast("int").alias("year"),
+        try_whole("model_year").alias("year"),
     )
     in_range = kept.filter(F.col("year").between(first, last))
     return in_range.groupBy("county", "year").agg(F.count("*").alias("n"))
@@ -107,7 +108,7 @@ def fact_session_matched(
         "session_id",
         "station_id",
         kwh.alias("kwh_delivered"),
-        try_number("duration_minutes").try_cast("int").alias("duration_minutes"),
+        try_whole("duration_minutes").alias("duration_minutes"),
         revenue.alias("revenue_usd"),
         try_date("session_date").alias("session_date"),
     ).filter(F.col("session_date").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from star_marts import fixed_values as fixed
-from star_marts.functions import norm_text, normalize_zip, try_number
+from star_marts.functions import norm_text, normalize_zip, try_whole
 
 
 def clean_registrations(
@@ -27,6 +27,6 @@ def clean_registrations(
         "zip": zip_rule,
         "county": norm_text,
         "make": norm_text,
-        "model_year": lambda c: try_number(c).try_cast("int"),
+        "model_year": try_whole,
     }
     return rows.select(*[rules.get(n, F.col)(n).alias(n) for n in names])

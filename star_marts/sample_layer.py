@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from star_marts import schemas
-from star_marts.plans.marts import RawLayer, Settings
+from star_marts.operators import lookup_join
+from star_marts.plans.marts import Settings
 from star_marts.schemas import conform
 from star_marts.sources import apply_types
 
@@ -39,7 +40,7 @@ def _text(c: Column) -> Column:
 
 
 class SampleLayer:
-    """The derived tables, each built when asked for."""
+    """The tables of `RawLayer`, each derived when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -67,7 +68,7 @@ class SampleLayer:
             F.concat(F.lit("-73."), F.lpad(_text(k % 997), 3, "0")).alias("longitude"),
             F.when(k % 10 == 0, "P").otherwise("E").alias("status_code"),
             F.when(k % 6 == 0, "LPG").otherwise("ELEC").alias("fuel_type_code"),
-            F.when(k % 29 == 0, "unknown").otherwise(F.date_format(opened, "yyyy-MM-dd")).alias("open_date"),
+            F.when(k % 29 == 0, "unknown").otherwise(_text(opened)).alias("open_date"),
         )
         return conform(used, schemas.RAW_STATIONS)
 
@@ -91,12 +92,15 @@ class SampleLayer:
 
     @cached_property
     def registrations(self) -> DataFrame:
-        owners = self._table("customer").join(
-            self._table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
-        ).select("c_custkey", "c_mktsegment", "n_name")
+        owners = self._table("customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+        nations = self._table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+        orders = self._table("orders").withColumnRenamed("o_custkey", "c_custkey").select(
+            "c_custkey", "o_orderkey", "o_orderstatus", "o_orderdate"
+        )
+        owned = lookup_join(orders, owners, "c_custkey", "inner").join(nations, "c_nationkey")
         o, k = F.col("o_orderkey"), F.col("c_custkey")
         zip5 = _text(k % 200 + 10000)
-        rows = self._table("orders").join(owners, F.col("o_custkey") == k).select(
+        rows = owned.select(
             _text(o).alias("vin"),
             F.concat(F.lit("CITY "), _text(k % 60)).alias("city"),
             F.when(o % 19 == 0, "NJ").otherwise("NY").alias("state"),
@@ -145,7 +149,7 @@ class SampleLayer:
             session_id.alias("session_id"),
             _text(F.col("l_partkey")).alias("station_id"),
             F.when(o % 101 == 0, "bad")
-            .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("session_date"),
+            .otherwise(_text(F.col("l_shipdate").cast("date"))).alias("session_date"),
             F.when(o % 97 == 0, "")
             .otherwise(_text(F.col("l_quantity").cast("decimal(10,2)"))).alias("kwh_delivered"),
             _text(F.col("l_quantity").cast("int") * line * 4).alias("duration_minutes"),
@@ -166,16 +170,3 @@ class SampleLayer:
     def typed_sessions(self) -> DataFrame:
         return apply_types(self.numbered_sessions, schemas.TYPED_SESSIONS).good
 
-
-def sample_raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
-    layer = SampleLayer(spark, sf_dir)
-    return RawLayer(
-        stations=layer.stations,
-        station_feed=layer.station_feed,
-        registrations=layer.registrations,
-        registrations_positional=layer.registrations_positional,
-        census_population=layer.census_population,
-        census_income=layer.census_income,
-        sessions=layer.sessions,
-        typed_sessions=layer.typed_sessions,
-    )

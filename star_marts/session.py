@@ -19,6 +19,7 @@ SESSION_CONF = {
 }
 
 _local_scratch: str | None = None
+_staged: list[str] = []
 
 
 def local_session(cores: int | str = "*", name: str = "star-marts", **extra: str) -> SparkSession:
@@ -58,5 +59,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     columnar scan with true sizes instead of a re-run of what came before.
     """
     path = scratch_path(df.sparkSession, label)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what this process staged, once nothing reads it any more; the number of folders."""
+    dropped = len(_staged)
+    hadoop = spark._jsc.hadoopConfiguration()
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+    return dropped

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from star_marts.fixed_values import NULL_TOKENS
-from star_marts.functions import try_date, try_number
+from star_marts.functions import try_date, try_whole
 from star_marts.schemas import strings
 
 _CORRUPT = "_corrupt_record"
@@ -96,10 +96,8 @@ def apply_types(df: DataFrame, schema: T.StructType) -> Landed:
     """Cast text columns to a schema, apart from rows in which some value does not cast."""
     names = schema.fieldNames()
     casts = {f.name: _try_type(F.col(f.name), f.dataType) for f in schema.fields}
-    bad = {
-        n: F.col(n).isNotNull() & (F.trim(n) != "") & casts[n].isNull()
-        for n in names
-    }
+    # A cast that gives a value ends the test; only the few others look at the text.
+    bad = {n: casts[n].isNull() & (F.coalesce(F.trim(n), F.lit("")) != "") for n in names}
     any_bad = reduce(Column.__or__, bad.values())
     why = F.array_join(F.array_compact(F.array(*[F.when(b, F.lit(n)) for n, b in bad.items()])), ", ")
     good = df.filter(~any_bad).select(*[casts[n].alias(n) for n in names])
@@ -115,7 +113,7 @@ def _try_type(c: Column, to: T.DataType) -> Column:
     if isinstance(to, T.DateType):
         return try_date(c)
     if isinstance(to, T.IntegralType):
-        return try_number(c).try_cast(to)
+        return try_whole(c, to.simpleString())
     return c.try_cast(to)
 
 
