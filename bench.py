@@ -2,7 +2,7 @@
 
 `queries` are derived from the raw tables each time, dimensions and keys included.
 `stored` are the same reports on marts that were written once, as a dashboard would run them;
-`rebuild` is the writing of all of them.
+`rebuild` is the writing of the landing tables and of all marts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.queries import QUERIES, _layers  # noqa: E402
-from star_marts import Marts, local_session  # noqa: E402
+from star_marts import Marts, local_session, store_raw  # noqa: E402
 from star_marts.plans import quality, reports  # noqa: E402
 from star_marts.sample_layer import SAMPLE_SETTINGS, SampleLayer  # noqa: E402
 
@@ -38,12 +38,10 @@ HEADLINE = [
 ]
 
 
-def seconds(build: Callable[[], DataFrame | None]) -> float:
+def seconds(build: Callable[[], DataFrame]) -> float:
     """Time to compute every row of a result, without bringing it to the driver."""
     start = time.perf_counter()
-    df = build()
-    if df is not None:
-        df.write.format("noop").mode("overwrite").save()
+    build().write.format("noop").mode("overwrite").save()
     return round(time.perf_counter() - start, 3)
 
 
@@ -60,8 +58,11 @@ def main() -> None:
     seconds(lambda: QUERIES["evs_per_station"](spark, SF_DIR))  # warm-up, not reported
     times = {name: seconds(lambda name=name: QUERIES[name](spark, SF_DIR)) for name in HEADLINE}
 
-    marts = Marts(spark, SampleLayer(spark, SF_DIR), SAMPLE_SETTINGS, _layers(spark))
-    rebuild = seconds(lambda: marts.build() and None)
+    layers = _layers(spark)
+    start = time.perf_counter()
+    marts = Marts(spark, store_raw(SampleLayer(spark, SF_DIR), layers), SAMPLE_SETTINGS, layers)
+    marts.build()
+    rebuild = round(time.perf_counter() - start, 3)
     on_stored = {
         "revenue_by_network": lambda: reports.revenue_by_network(
             marts.fact_session_matched, marts.dim_station_matched),

@@ -63,7 +63,8 @@ RELATIONS: dict[str, str] = {
     "r_census": """
         SELECT z::VARCHAR AS zip, (100 + z * 37 % 5000)::BIGINT AS population,
             CASE WHEN z % 9 <> 0 AND z % 31 <> 0 THEN (30000 + z * 71 % 90000)::BIGINT END AS income
-        FROM (SELECT DISTINCT 10000 + c_custkey % 200 AS z FROM customer) WHERE z % 23 <> 0""",
+        FROM r_zips WHERE z % 23 <> 0""",
+    "r_zips": "SELECT DISTINCT 10000 + c_custkey % 200 AS z FROM customer",
     "r_sessions": """
         SELECT l_orderkey AS o, l_linenumber AS line, l_partkey AS station,
             l_orderkey || '-' || l_linenumber AS session_id,
@@ -393,6 +394,27 @@ QUERIES: dict[str, str] = {
         SELECT NULL::BIGINT AS location_key, county_name, NULL::VARCHAR AS state_code, region,
             population, median_income FROM counties""",
     "inserted_calendar": _YEAR_ROWS,
+    "loaded_raw_counts": """
+        SELECT 'stations' AS tbl, count(*) AS row_count FROM r_stations
+        UNION ALL SELECT 'registrations', count(*) FROM r_registrations
+        UNION ALL SELECT 'census_population', count(*) FROM r_zips
+        UNION ALL SELECT 'census_income', count(*) FILTER (WHERE z % 9 <> 0) FROM r_zips
+        UNION ALL SELECT 'sessions', count(*) FROM r_sessions""",
+    "csv_source_counts": """
+        SELECT 'stations' AS tbl, count(*) AS row_count FROM r_stations
+        UNION ALL SELECT 'station_feed', count(*) FROM r_stations
+        UNION ALL SELECT 'registrations', count(*) FROM r_registrations
+        UNION ALL SELECT 'census_population', count(*) FROM r_zips
+        UNION ALL SELECT 'census_income', count(*) FILTER (WHERE z % 9 <> 0) FROM r_zips
+        UNION ALL SELECT 'sessions', count(*) FROM r_sessions
+        UNION ALL SELECT 'typed_sessions', count(session_date) FROM r_sessions
+        UNION ALL SELECT 'stations skipped', 0
+        UNION ALL SELECT 'registrations skipped', 0
+        UNION ALL SELECT 'census_population skipped', 0
+        UNION ALL SELECT 'census_income skipped', 0
+        UNION ALL SELECT 'sessions skipped', 0
+        UNION ALL SELECT 'typed_sessions skipped', count(*) - count(session_date)
+            FROM r_sessions""",
     "rebuilt_layers": """
         SELECT 'zip_to_county' AS tbl, count(*) AS row_count FROM zips
         UNION ALL SELECT 'dim_date', 2557

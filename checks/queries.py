@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from star_marts import Layers, Marts, schemas
+from star_marts import CsvSources, Layers, Marts, read_csv_sources, schemas, store_raw
 from star_marts.functions import calendar_covering, try_date
 from star_marts.operators import densify, with_surrogate_key
 from star_marts.plans import dimensions, facts, quality, reports
@@ -493,8 +493,37 @@ def inserted_calendar(m: Marts) -> DataFrame:
     return layers.read("marts.dim_date")
 
 
+@on_marts
+def loaded_raw_counts(m: Marts) -> DataFrame:
+    """Reset the landing tables, load them by position, count them."""
+    layers = _layers(m.spark)
+    tables = layers.reset_raw()
+    for table in tables:
+        layers.append_positional(getattr(m.raw, table), f"raw.{table}")
+    return quality.row_counts({t: layers.read(f"raw.{t}") for t in tables}, "tbl")
+
+
+@query
+def csv_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All source files written as CSV and read back: loaded and skipped rows per table."""
+    sample = SampleLayer(spark, sf_dir)
+    root = scratch_path(spark, "sources")
+    for table in CSV_TABLES:
+        _write_csv(getattr(sample, table), f"{root}/{table}")
+    _write_csv(sample.numbered_sessions, f"{root}/sessions")
+    paths = CsvSources(**{table: f"{root}/{table}" for table in [*CSV_TABLES, "sessions"]})
+    raw, rejected = read_csv_sources(spark, paths)
+    loaded = {name: getattr(raw, name) for name in [*CSV_TABLES, "sessions", "typed_sessions"]}
+    skipped = {f"{name} skipped": rows for name, rows in rejected.items()}
+    return quality.row_counts({**loaded, **skipped}, "tbl")
+
+
+CSV_TABLES = ["stations", "station_feed", "registrations", "census_population", "census_income"]
+
+
 @query
 def rebuilt_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every table of both generations written to its layer, and their row counts."""
-    marts = Marts(spark, SampleLayer(spark, sf_dir), SAMPLE_SETTINGS, _layers(spark))
-    return quality.row_counts(marts.build(), "tbl")
+    """Landing tables and every table of both generations written to their layers, counted."""
+    layers = _layers(spark)
+    raw = store_raw(SampleLayer(spark, sf_dir), layers)
+    return quality.row_counts(Marts(spark, raw, SAMPLE_SETTINGS, layers).build(), "tbl")

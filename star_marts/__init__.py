@@ -1,7 +1,10 @@
 """Dimensional marts on Spark: landing, cleaning, dimensions, facts, checks and reports."""
 
-from star_marts.plans.marts import Marts, RawLayer, Settings
+from star_marts.plans import CsvSources, Marts, RawLayer, Settings, read_csv_sources, store_raw
 from star_marts.session import local_session
 from star_marts.sources import Layers
 
-__all__ = ["Layers", "Marts", "RawLayer", "Settings", "local_session"]
+__all__ = [
+    "CsvSources", "Layers", "Marts", "RawLayer", "Settings", "local_session", "read_csv_sources",
+    "store_raw",
+]

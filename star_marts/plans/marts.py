@@ -12,24 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from star_marts import fixed_values as fixed
 from star_marts.functions import dim_date
 from star_marts.plans import dimensions, facts, staging
+from star_marts.plans.raw import RawLayer
 from star_marts.session import stage
 from star_marts.sources import Layers
 
 
-@dataclass(frozen=True)
-class RawLayer:
-    """Landing tables.  All are text except `typed_sessions`."""
-
-    stations: DataFrame
-    station_feed: DataFrame
-    registrations: DataFrame
-    registrations_positional: DataFrame
-    census_population: DataFrame
-    census_income: DataFrame
-    sessions: DataFrame
-    typed_sessions: DataFrame
-
-
 @dataclass(frozen=True)
 class Settings:
     """Date ranges, state, thresholds and region lists of a build."""

@@ -30,6 +30,15 @@ RAW_CENSUS_INCOME = strings(fixed.CENSUS_INCOME_COLUMNS)
 RAW_SESSIONS = strings(fixed.SESSION_COLUMNS)
 RAW_STATION_FEED = strings(fixed.STATION_FEED_COLUMNS)
 
+# The landing tables that are declared before anything is loaded.
+RAW_TABLES = {
+    "stations": RAW_STATIONS,
+    "registrations": RAW_REGISTRATIONS,
+    "census_population": RAW_CENSUS_POPULATION,
+    "census_income": RAW_CENSUS_INCOME,
+    "sessions": RAW_SESSIONS,
+}
+
 # Whole-number identifiers are 64-bit: the row counts this is built for pass 2^31.
 TYPED_SESSIONS = typed(
     session_id=LONG,

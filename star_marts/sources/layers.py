@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from star_marts.schemas import conform
+from star_marts.schemas import RAW_TABLES, conform
 
 LAYERS = ("raw", "staging", "marts")
 
@@ -52,6 +52,12 @@ class Layers:
         empty = self.spark.createDataFrame([], schema)
         return self.replace(empty, table)
 
+    def reset_raw(self) -> dict[str, DataFrame]:
+        """Every text landing table, empty, whatever was in it before."""
+        for table in RAW_TABLES:
+            self.drop(f"raw.{table}")
+        return {t: self.declare(f"raw.{t}", schema) for t, schema in RAW_TABLES.items()}
+
     def replace(
         self, df: DataFrame, table: str, schema: T.StructType | None = None,
         partition_by: Sequence[str] = (),
