@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from star_marts.session import stage
@@ -27,6 +28,7 @@ def with_surrogate_key(
     is dense and unique but not the same from one rebuild to the next.
 
     The numbered rows are staged once, because positions hold only for one run of the plan.
+    What comes back is a scan of that table with its true size, so it needs no staging again.
     """
     rows = df
     if order_by:
@@ -35,17 +37,20 @@ def with_surrogate_key(
         ]
         rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = stage(rows.withColumn("_row", F.monotonically_increasing_id()), name)
-    chunk = F.shiftright("_row", _POSITION_BITS)
+    chunk = F.shiftright("_row", _POSITION_BITS).cast("int")
     position = F.col("_row").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    # One row per write task: a bound that does not grow with the rows of a task.
-    sizes = numbered.groupBy(chunk.alias("_chunk")).agg((F.max(position) + 1).alias("size"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_chunk", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_before"))
-    return (
-        numbered.withColumn("_chunk", chunk)
-        .join(F.broadcast(offsets), "_chunk")
-        .select((F.col("_before") + position + 1).alias(name), *df.columns)
-    )
+    # One number per write task comes to the driver, however many rows a task wrote.
+    sizes = numbered.groupBy(chunk.alias("chunk")).agg((F.max(position) + 1).alias("size"))
+    before = _rows_before({r["chunk"]: r["size"] for r in sizes.collect()})
+    key = F.element_at(before, chunk + 1) + position + 1
+    return numbered.select(key.alias(name), *df.columns)
+
+
+def _rows_before(sizes: dict[int, int]) -> Column:
+    """Constant array: at each chunk, the rows of all chunks before it."""
+    in_order = [sizes.get(chunk, 0) for chunk in range(max(sizes, default=0) + 1)]
+    starts = accumulate(in_order[:-1], initial=0)
+    return F.expr(f"array({', '.join(f'{start}L' for start in starts)})")
 
 
 def modulo_bridge_key(identifier: Column, dimension: DataFrame) -> Column:

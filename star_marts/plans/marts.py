@@ -36,8 +36,8 @@ class Marts:
     """Tables by name; asking for one builds what it depends on.
 
     With `layers` every table is written once and read back from there.  Without, dimensions
-    are staged in the scratch folder, so that joins know their true size, and the large
-    tables (facts, cleaned registrations) stay plans.
+    stay where their keys were staged, so that joins know their true size, and calendars and
+    the large tables (facts, cleaned registrations) stay plans.
     """
 
     TABLES = (
@@ -59,33 +59,26 @@ class Marts:
     def build(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.TABLES}
 
-    def _dimension(self, name: str, df: DataFrame) -> DataFrame:
-        if self.layers is None:
-            return stage(df, name)
-        return self.layers.replace(df, f"marts.{name}")
-
-    def _large(self, name: str, df: DataFrame, layer: str = "marts") -> DataFrame:
+    def _keep(self, name: str, df: DataFrame, layer: str = "marts") -> DataFrame:
+        """Dimensions come staged with their keys, so without layers there is nothing to do."""
         return df if self.layers is None else self.layers.replace(df, f"{layer}.{name}")
 
     def _fact(self, name: str, df: DataFrame, key: str) -> DataFrame:
         """Only stored facts have an identity key: nothing joins on it."""
         keyed = df if self.layers is None else facts.with_identity_key(df, key)
-        return self._large(name, keyed)
-
-    def _calendar(self, name: str, df: DataFrame) -> DataFrame:
-        """Calendars are cheap to make and bounded by themselves, so they stay plans too."""
-        return self._large(name, df)
+        return self._keep(name, keyed)
 
     # --- county generation --------------------------------------------------------------
 
     @cached_property
     def zip_to_county(self) -> DataFrame:
-        return self._dimension("zip_to_county", dimensions.zip_to_county(self.raw.registrations))
+        df = dimensions.zip_to_county(self.raw.registrations)
+        return stage(df, "zip_to_county") if self.layers is None else self._keep("zip_to_county", df)
 
     @cached_property
     def dim_date(self) -> DataFrame:
         s = self.settings
-        return self._calendar("dim_date", dim_date(self.spark, s.calendar_first, s.calendar_last))
+        return self._keep("dim_date", dim_date(self.spark, s.calendar_first, s.calendar_last))
 
     @cached_property
     def dim_location_county(self) -> DataFrame:
@@ -93,14 +86,14 @@ class Marts:
             self.raw.census_population, self.raw.census_income, self.zip_to_county,
             state_code=self.settings.state, regions=self.settings.regions,
         )
-        return self._dimension("dim_location_county", df)
+        return self._keep("dim_location_county", df)
 
     @cached_property
     def dim_station_matched(self) -> DataFrame:
         df = dimensions.dim_station_matched(
             self.raw.stations, self.zip_to_county, self.dim_location_county
         )
-        return self._dimension("dim_station_matched", df)
+        return self._keep("dim_station_matched", df)
 
     @property
     def new_registrations(self) -> DataFrame:
@@ -120,7 +113,7 @@ class Marts:
             self.dim_location_county, self.new_registrations, self.new_stations,
             s.demand_first, s.demand_last,
         )
-        return self._large("fact_market_demand", df)
+        return self._keep("fact_market_demand", df)
 
     @cached_property
     def fact_session_matched(self) -> DataFrame:
@@ -137,28 +130,28 @@ class Marts:
     @cached_property
     def registrations_clean(self) -> DataFrame:
         df = staging.clean_registrations(self.raw.registrations_positional, self.settings.state)
-        return self._large("registrations_clean", df, "staging")
+        return self._keep("registrations_clean", df, "staging")
 
     @cached_property
     def dim_date_bridged(self) -> DataFrame:
         s = self.settings
         df = dim_date(self.spark, s.bridged_first, s.bridged_last, weekend_as="int")
-        return self._calendar("dim_date_bridged", df)
+        return self._keep("dim_date_bridged", df)
 
     @cached_property
     def dim_station_bridged(self) -> DataFrame:
-        return self._dimension(
+        return self._keep(
             "dim_station_bridged", dimensions.dim_station_bridged(self.raw.station_feed)
         )
 
     @cached_property
     def dim_location_zip_city(self) -> DataFrame:
         df = dimensions.dim_location_zip_city(self.dim_station_bridged, self.registrations_clean)
-        return self._dimension("dim_location_zip_city", df)
+        return self._keep("dim_location_zip_city", df)
 
     @cached_property
     def dim_ev_market(self) -> DataFrame:
-        return self._dimension("dim_ev_market", dimensions.dim_ev_market(self.registrations_clean))
+        return self._keep("dim_ev_market", dimensions.dim_ev_market(self.registrations_clean))
 
     @cached_property
     def fact_session_bridged(self) -> DataFrame:
@@ -166,4 +159,4 @@ class Marts:
             self.raw.typed_sessions, self.dim_station_bridged, self.dim_location_zip_city,
             self.dim_ev_market, self.dim_date_bridged,
         )
-        return self._large("fact_session_bridged", df)
+        return self._keep("fact_session_bridged", df)
