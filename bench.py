@@ -22,6 +22,7 @@ from checks.queries import QUERIES, _layers  # noqa: E402
 from star_marts import Marts, local_session, store_raw  # noqa: E402
 from star_marts.plans import quality, reports  # noqa: E402
 from star_marts.sample_layer import SAMPLE_SETTINGS, SampleLayer  # noqa: E402
+from star_marts.session import drop_scratch  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -56,7 +57,10 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds(lambda: QUERIES["evs_per_station"](spark, SF_DIR))  # warm-up, not reported
-    times = {name: seconds(lambda name=name: QUERIES[name](spark, SF_DIR)) for name in HEADLINE}
+    times = {}
+    for name in HEADLINE:
+        times[name] = seconds(lambda name=name: QUERIES[name](spark, SF_DIR))
+        drop_scratch(spark)
 
     layers = _layers(spark)
     start = time.perf_counter()
@@ -96,6 +100,7 @@ def main() -> None:
             }
         )
     )
+    drop_scratch(spark)
     spark.stop()
 
 

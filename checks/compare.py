@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from checks.oracle import oracle_sql  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
 from star_marts import local_session  # noqa: E402
+from star_marts.session import drop_scratch  # noqa: E402
 
 
 def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -70,5 +71,6 @@ if __name__ == "__main__":
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failed += problem is not None
         print(f"{query}: {problem or 'ok'} ({time.time() - start:.2f}s)", flush=True)
+        drop_scratch(session)
     print(f"{len(chosen) - failed} of {len(chosen)} agree")
     sys.exit(failed > 0)

@@ -19,7 +19,7 @@ SESSION_CONF = {
 }
 
 _local_scratch: str | None = None
-_staged: list[str] = []
+_scratch: list[str] = []
 
 
 def local_session(cores: int | str = "*", name: str = "star-marts", **extra: str) -> SparkSession:
@@ -49,7 +49,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new folder name; `drop_scratch` deletes what was written there."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -59,16 +62,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     columnar scan with true sizes instead of a re-run of what came before.
     """
     path = scratch_path(df.sparkSession, label)
-    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete what this process staged, once nothing reads it any more; the number of folders."""
-    dropped = len(_staged)
-    hadoop = spark._jsc.hadoopConfiguration()
-    while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        path.getFileSystem(hadoop).delete(path, True)
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete this process's scratch folders, once nothing reads them any more; their number."""
+    dropped = len(_scratch)
+    while _scratch:
+        delete_folder(spark, _scratch.pop())
     return dropped
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

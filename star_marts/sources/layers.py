@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from star_marts.schemas import RAW_TABLES, conform
+from star_marts.session import delete_folder
 
 LAYERS = ("raw", "staging", "marts")
 
@@ -45,7 +46,12 @@ class Layers:
         return self.spark.catalog.tableExists(self.name(table))
 
     def drop(self, table: str) -> None:
+        """Drop the table and its files, if there is one."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        delete_folder(self.spark, self._folder(table))
+
+    def _folder(self, table: str) -> str:
+        return f"{self.root}/{table.replace('.', '/')}"
 
     def declare(self, table: str, schema: T.StructType) -> DataFrame:
         """An empty table of a declared schema, in place of any older one."""
@@ -70,7 +76,8 @@ class Layers:
         rows = conform(df, schema) if schema is not None else df
         if partition_by:
             rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-        writer = rows.write.mode("overwrite").format("parquet")
+        # With a path of its own a table is replaced even where the catalog has forgotten it.
+        writer = rows.write.mode("overwrite").format("parquet").option("path", self._folder(table))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(self.name(table))

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from star_marts import local_session  # noqa: E402
+from star_marts.session import drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +22,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -57,6 +57,22 @@ def test_partitions_are_pruned(spark, layers):
     assert "PartitionFilters: [isnotnull(month" in plan
 
 
+def test_rebuild_where_the_catalog_is_new(spark, layers):
+    layers.replace(spark.createDataFrame([(1, "a"), (2, "b")], PAIR), "marts.t")
+    for layer in ("raw", "staging", "marts"):
+        spark.sql(f"DROP DATABASE {layers.prefix}{layer} CASCADE")
+    layers.create()
+    again = layers.replace(spark.createDataFrame([(3, "c")], PAIR), "marts.t")
+    assert [tuple(r) for r in again.collect()] == [(3, "c")]
+
+
+def test_drop_deletes_the_files(spark, layers, tmp_path):
+    layers.declare("raw.t", PAIR)
+    assert (tmp_path / "raw" / "t").exists()
+    layers.drop("raw.t")
+    assert not (tmp_path / "raw" / "t").exists()
+
+
 def test_drop_and_names(spark, layers):
     layers.declare("staging.t", PAIR)
     assert layers.exists("staging.t")

@@ -3,7 +3,7 @@ import os
 import pytest
 
 from star_marts import session
-from star_marts.session import drop_staged, scratch_root, stage
+from star_marts.session import drop_scratch, scratch_root, stage
 
 
 @pytest.fixture
@@ -24,7 +24,7 @@ def test_stage_uses_the_shared_folder_and_is_dropped(spark, shared):
     staged = stage(spark.range(5), "numbers")
     assert staged.count() == 5
     assert [name.split("-")[0] for name in os.listdir(shared)] == ["numbers"]
-    assert drop_staged(spark) >= 1
+    assert drop_scratch(spark) >= 1
     assert os.listdir(shared) == []
 
 
