@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_HOT_SHARE = 0.001  # a key with more than this share of the rows is salted ...
-_SAMPLE_SHARE = 0.01  # ... as far as a sample of this share of the rows can tell
+_HOT_SHARE = 0.001  # a key with more than this share of the sampled rows is salted
+_SAMPLE_BYTES = 64 << 20  # the sample is about this much of the facts ...
+_LEAST_SAMPLE = 0.0001  # ... but never a smaller share, as sizes may be overestimated
 _SALTS = 64
 
 
@@ -59,11 +60,11 @@ def lookup_join(
 
 def salted_join(
     facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left",
-    salts: int = _SALTS, sample: float = _SAMPLE_SHARE,
+    salts: int = _SALTS, sample: float | None = None,
 ) -> DataFrame:
     """The shuffled form of `lookup_join`."""
     keys = list(keys)
-    hot = _hot_keys(facts, keys, sample)
+    hot = _hot_keys(facts, keys, _sample_share(facts) if sample is None else sample)
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
@@ -82,6 +83,11 @@ def salted_join(
     return joined.select(*keys, *[c for c in facts.columns if c not in keys], *tail)
 
 
+def _sample_share(facts: DataFrame) -> float:
+    size = size_in_bytes(facts) or 1
+    return min(1.0, max(_LEAST_SAMPLE, _SAMPLE_BYTES / size))
+
+
 def _hot_keys(facts: DataFrame, keys: Sequence[str], sample: float) -> DataFrame:
     """Keys above the hot share in a sample: fewer than 1 / share rows by definition."""
     counts = (

@@ -19,7 +19,11 @@ from star_marts.sources import Layers
 
 @dataclass(frozen=True)
 class Settings:
-    """Date ranges, state, thresholds and region lists of a build."""
+    """Date ranges, state, thresholds and region lists of a build.
+
+    `state` selects registrations for the (zip, city) tables.  The county tables only stamp it
+    on, unless `county_state` limits the registrations that map zips to counties.
+    """
 
     calendar_first: dt.date = dt.date(2014, 1, 1)
     calendar_last: dt.date = dt.date(2026, 12, 31)
@@ -29,6 +33,7 @@ class Settings:
     demand_last: int = 2026
     registered_since: dt.date = dt.date(2024, 1, 1)
     state: str = "NY"
+    county_state: str | None = None
     regions: Mapping[str, Sequence[str]] = field(default_factory=lambda: fixed.NY_REGIONS)
 
 
@@ -72,7 +77,7 @@ class Marts:
 
     @cached_property
     def zip_to_county(self) -> DataFrame:
-        df = dimensions.zip_to_county(self.raw.registrations)
+        df = dimensions.zip_to_county(self.raw.registrations, self.settings.county_state)
         return stage(df, "zip_to_county") if self.layers is None else self._keep("zip_to_county", df)
 
     @cached_property
