@@ -29,10 +29,36 @@ def test_salted_equals_plain(facts, dimension, how):
     assert plain(salted) == plain(facts.join(dimension, "k", how))
 
 
-def test_hot_key_is_spread(facts, dimension):
-    salted = salted_join(facts, dimension, ["k"], "inner", salts=8, sample=0.5)
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+def largest_task(df):
+    """Share of the rows that the fullest task of a join holds."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.fixture
+def fixed_tasks(spark, no_broadcast):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_hot_and_missing_keys_are_spread(spark, fixed_tasks):
+    n = F.col("id")
+    key = F.when(n % 3 == 0, 1).when(n % 3 == 1, None).otherwise(n % 500)
+    facts = spark.range(30_000).select(key.alias("k"), n.alias("row"))
+    dimension = spark.range(400).select(F.col("id").alias("k"), F.lit("x").alias("attr"))
+    assert largest_task(facts.join(dimension, "k", "left")) > 0.3
+    assert largest_task(lookup_join(facts, dimension, "k", "left")) < 0.15
+
+
+def test_only_hot_keys_repeat_in_the_dimension(spark, fixed_tasks):
+    facts = spark.range(10_000).select(F.when(F.col("id") < 5000, 7).otherwise(F.col("id")).alias("k"))
+    salted = salted_join(facts, spark.range(10_000).withColumnRenamed("id", "k"), ["k"], "inner", salts=8)
+    assert salted.count() == 10_000
 
 
 def test_composite_key(spark, facts):
