@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from star_marts import fixed_values as fixed
 from star_marts.functions import dim_date
@@ -23,6 +24,8 @@ class Settings:
 
     `state` selects registrations for the (zip, city) tables.  The county tables only stamp it
     on, unless `county_state` limits the registrations that map zips to counties.
+    `facts_by_month` partitions stored session facts and snapshots by a `month_key` (yyyymm), for
+    queries that need some months of a large fact.
     """
 
     calendar_first: dt.date = dt.date(2014, 1, 1)
@@ -34,6 +37,7 @@ class Settings:
     registered_since: dt.date = dt.date(2024, 1, 1)
     state: str = "NY"
     county_state: str | None = None
+    facts_by_month: bool = False
     regions: Mapping[str, Sequence[str]] = field(default_factory=lambda: fixed.NY_REGIONS)
 
 
@@ -68,10 +72,15 @@ class Marts:
         """Dimensions come staged with their keys, so without layers there is nothing to do."""
         return df if self.layers is None else self.layers.replace(df, f"{layer}.{name}")
 
-    def _fact(self, name: str, df: DataFrame, key: str) -> DataFrame:
+    def _fact(self, name: str, df: DataFrame, key: str | None = None) -> DataFrame:
         """Only stored facts have an identity key: nothing joins on it."""
-        keyed = df if self.layers is None else facts.with_identity_key(df, key)
-        return self._keep(name, keyed)
+        if self.layers is None:
+            return df
+        rows = df if key is None else facts.with_identity_key(df, key)
+        if not self.settings.facts_by_month:
+            return self.layers.replace(rows, f"marts.{name}")
+        monthly = rows.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
+        return self.layers.replace(monthly, f"marts.{name}", partition_by=["month_key"])
 
     # --- county generation --------------------------------------------------------------
 
@@ -164,4 +173,4 @@ class Marts:
             self.raw.typed_sessions, self.dim_station_bridged, self.dim_location_zip_city,
             self.dim_ev_market, self.dim_date_bridged,
         )
-        return self._keep("fact_session_bridged", df)
+        return self._fact("fact_session_bridged", df)

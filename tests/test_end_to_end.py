@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from star_marts import CsvSources, Layers, Marts, Settings, fixed_values as fixed, read_csv_sources, schemas, store_raw
-from star_marts.plans import facts, quality, reports
+from star_marts.plans import quality, reports
 
 
 def csv(path, names, records):
@@ -105,12 +105,11 @@ def test_lazy_and_stored_marts_agree(spark, sources, layers):
         assert sorted(map(str, left.collect())) == sorted(map(str, right.select(*shared).collect())), name
 
 
-def test_stored_facts_can_be_partitioned(spark, sources, layers):
+def test_stored_facts_by_month(spark, sources, layers):
     raw, _ = read_csv_sources(spark, sources)
-    fact = facts.fact_session_bridged(
-        raw.typed_sessions, *[getattr(Marts(spark, raw), t) for t in
-                              ("dim_station_bridged", "dim_location_zip_city", "dim_ev_market", "dim_date_bridged")]
-    ).withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
-    stored = layers.replace(fact, "marts.sessions_by_month", partition_by=["month_key"])
-    assert stored.filter(F.col("month_key") == 202501).count() == 2
-    assert stored.filter(F.col("month_key").isNull()).count() == 0
+    marts = Marts(spark, raw, Settings(facts_by_month=True), layers)
+    for fact in (marts.fact_session_matched, marts.fact_station_daily_snapshot, marts.fact_session_bridged):
+        january = fact.filter(F.col("month_key") == 202501)
+        plan = january._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(month_key" in plan
+        assert january.count() == fact.filter("date_key between 20250101 and 20250131").count() > 0
