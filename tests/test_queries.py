@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import difference, tables
+from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def db():
     return tables(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, db, name):
     assert difference(spark, db, name, SF_DIR) is None
 
@@ -29,8 +30,8 @@ def test_matches_sql_without_broadcasts(spark, db, name, no_broadcast):
 
 def test_contract(spark):
     assert contract.entry(spark).count() > 0
-    without_sql = set(contract.queries()) - set(contract.oracle_sql())
-    assert without_sql == {"session_sample"}
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) - set(contract.oracle_sql()) == {"session_sample"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
