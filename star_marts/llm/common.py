@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Fixed value: a word is a run of anything but these six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
+TEXTS_PER_BATCH = 500
 _HOT_KEYS = 1000  # a key is hot above this share of the rows, so fewer keys than this are hot
 _LEAST_HOT = 20_000  # rows that one task takes without trouble
 
@@ -63,3 +64,8 @@ def salted_sides(
         "_salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1))
     )
     return salted, repeated
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in small batches, so that a batch of long texts still fits a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))

@@ -5,13 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from star_marts.llm import secret_scan, source_mixing, warc_store
+from pyspark.sql import functions as F
+
+from star_marts.llm import (
+    byte_bpe,
+    secret_scan,
+    simhash_dedup,
+    source_mixing,
+    substring_dedup,
+    warc_store,
+)
 from star_marts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_sentences", "n_removed")
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -25,9 +46,14 @@ def op8_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op5_source_mixing, op7_secret_scan, op8_content_addressed_warc)
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op7_secret_scan,
+        op8_content_addressed_warc,
+    )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.ORACLE_SQL,
     "op5_source_mixing": source_mixing.ORACLE_SQL,
     "op8_content_addressed_warc": warc_store.ORACLE_SQL,
 }

@@ -61,17 +61,20 @@ def _located(text: Column, pattern: str, group: int = 0) -> Column:
 def _base(text: Column) -> Column:
     """Array of (start, kind number, end), in order."""
     assigned = F.filter(_located(text, ASSIGN, 2), lambda s: F.length(s["value"]) >= LEAST_ASSIGNED)
-    kinds = [assigned, _located(text, ACCESS), _located(text, HEX)]
     return F.array_sort(
-        F.concat(
-            *[
-                F.transform(spans, lambda s, n=n: F.struct(s["start"], F.lit(n).alias("kind"), s["end"]))
-                for n, spans in enumerate(kinds)
-            ]
-        )
+        F.concat(_of_kind(assigned, 0), _of_kind(_located(text, ACCESS), 1), _of_kind(_located(text, HEX), 2))
     )
 
 
+def _of_kind(spans: Column, kind: int) -> Column:
+    """(start, kind number, end) of spans that have start and end."""
+    return F.transform(spans, lambda s: F.struct(s["start"], F.lit(kind).alias("kind"), s["end"]))
+
+
+def _count(kind: int) -> Column:
+    return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
+
+
 def found_spans(docs: DataFrame) -> DataFrame:
     """`docs` with `_base` (start, kind, end) and `_candidates` (start, end, value, marked)."""
     text = whole_text()
@@ -176,10 +179,7 @@ def _joined(spans: Column) -> Column:
 def scan(docs: DataFrame, least_ratio: float = LEAST_RATIO) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     spans = with_spans(docs.select("doc_id", "text"), least_ratio)
-    counts = [
-        F.size(F.filter("_base", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{kind}")
-        for n, kind in enumerate(KINDS)
-    ]
+    counts = [_count(n).alias(f"n_{kind}") for n, kind in enumerate(KINDS)]
     return spans.select(
         "doc_id", *counts, F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"),
         _joined(F.array_sort(F.concat("_base", "_random"))).alias("spans"),

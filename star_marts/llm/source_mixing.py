@@ -249,37 +249,37 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
     which nothing is taken go, those without words too.  Rows equal in doc_id and text come
     back as one row that carries what is taken of all of them.
     """
-    sized = stage(sizes(docs), "sizes")
-    picked = block_picks(sized, seed).withColumn(
+    picked = block_picks(stage(sizes(docs), "sizes"), seed).withColumn(
         "picks", F.filter("picks", lambda p: p["times"] > 0)
     )
-    once = picked.groupBy("doc_id", "digest").agg(
-        F.flatten(F.collect_list("picks")).alias("_picks"), F.max("size").alias("_size")
-    ).withColumnsRenamed({"doc_id": "_id", "digest": "_digest"}).filter(F.size("_picks") > 0)
-    digest = F.xxhash64(whole_text())
-    names = docs.columns
-    kept = docs.withColumn("_one", digest).dropDuplicates(["doc_id", "_one"]).join(
-        stage(once, "picks"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_one") == F.col("_digest"))
+    once = stage(
+        picked.groupBy("doc_id", "digest").agg(
+            F.flatten(F.collect_list("picks")).alias("picks"), F.max("size").alias("size")
+        ).filter(F.size("picks") > 0),
+        "picks",
     )
-    times = F.array_max(F.transform("_picks", lambda p: p["times"]))
-    same = F.forall("_picks", lambda p: p["times"] == times) & (
-        F.aggregate("_picks", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["start"]) == F.col("_size")
+    if not picked.groupBy("doc_id", "digest").count().filter("count > 1").isEmpty():
+        docs = docs.dropDuplicates(["doc_id", "text"])
+    source = docs["text"]
+    same = docs["doc_id"].eqNullSafe(once["doc_id"])
+    same = same & (F.xxhash64(F.coalesce(source, F.lit(""))) == once["digest"])
+    picks = once["picks"]
+    times = F.array_max(F.transform(picks, lambda p: p["times"]))
+    whole = let(times, lambda most: F.forall(picks, lambda p: p["times"] == most)) & (
+        F.aggregate(picks, F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["start"]) == once["size"]
     )
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
+    words = F.regexp_extract_all(source, F.lit(f"({WORD})"))
 
     def cut(w: Column, p: Column) -> Column:
         piece = F.slice(w, (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int"))
         return F.array_join(F.array_repeat(F.array_join(piece, " "), p["times"].cast("int")), "\n")
 
-    part = let(words, lambda w: F.transform("_picks", lambda p: cut(w, p)))
-    text = F.when(same, F.array_join(F.array_repeat(F.col("text"), times.cast("int")), "\n")).otherwise(
-        F.array_join(part, "\n")
+    parts = let(words, lambda w: F.transform(picks, lambda p: cut(w, p)))
+    text = F.when(whole, F.array_join(F.array_repeat(source, times.cast("int")), "\n")).otherwise(
+        F.array_join(parts, "\n")
     )
-    columns = {"text": text, "n_chars": F.length("text").cast("long")}
-    out = kept.withColumn("text", columns["text"])
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", columns["n_chars"])
-    return out.select(*names)
+    taken = {"text": text, "n_chars": F.length(text).cast("long")}
+    return docs.join(once, same).select(*[taken.get(c, docs[c]).alias(c) for c in docs.columns])
 
 
 #: The same by DuckDB: quotients are all generated and ranked.
