@@ -101,7 +101,7 @@ def without_repeats(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORD
 #: The same by DuckDB, by the texts of spans instead of their hashes.
 ORACLE_SQL = r"""
 WITH pieces AS (
-  SELECT doc_id, text, list_filter(regexp_extract_all(coalesce(text, ''), '(?s).*?(?:[.!?]["'')\]]*[ \t\n\x0B\f\r]+|\n[ \t\n\x0B\f\r]*|\z)'), x -> x <> '') AS s
+  SELECT doc_id, text, [x FOR x IN regexp_extract_all(coalesce(text, ''), '(?s).*?(?:[.!?]["'')\]]*[ \t\n\x0B\f\r]+|\n[ \t\n\x0B\f\r]*|\z)') IF x <> ''] AS s
   FROM documents),
 sentence AS (
   SELECT doc_id, i - 1 AS pos, s[i] AS raw, trim(s[i], e' \t\n\x0b\f\r') AS t
