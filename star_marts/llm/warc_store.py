@@ -1,7 +1,7 @@
 """A content-addressed WARC archive.
 
 Three tables: `headers` has one row per record with the exact header bytes, `blobs` has each
-distinct payload once under its SHA-256, and `records()` joins them to the original bytes.  The
+distinct payload once under its SHA-256, with its number of records, and `records()` joins them to the original bytes.  The
 digest is verified where payloads meet: a blob is found by SHA-256, SHA-1 and length together,
 and reading recomputes both digests from the stored bytes.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from star_marts.llm.common import salted_sides, spread_join
+from star_marts.llm.common import spread_join
 from star_marts.session import scratch_path, stage
 
 LEAST_REVISIT = 1000
@@ -76,9 +76,9 @@ def write_archive(pages: DataFrame, path: str) -> None:
     ).write.parquet(f"{path}/headers")
 
     # Only the holder's row of each payload moves.  Its repetitions have the same bytes.
-    holders = contents.select(*CONTENT, F.col("holder").alias("page_id"))
+    holders = contents.withColumnRenamed("holder", "page_id")
     same = [rows[c].eqNullSafe(holders[c]) for c in (*CONTENT, "page_id")]
-    stored = rows.join(holders, same, "left_semi").select(*CONTENT, "payload")
+    stored = rows.join(holders, same).select(*[rows[c] for c in CONTENT], "payload", "copies")
     if _repeated_pages(index):
         stored = stored.dropDuplicates(CONTENT)
     stored.write.parquet(f"{path}/blobs")
@@ -93,10 +93,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     """header, payload and the whole record's bytes, joined from the archive."""
     headers = spark.read.parquet(f"{path}/headers")
     blobs = spark.read.parquet(f"{path}/blobs")
-    contents = spark.read.parquet(f"{path}/contents").drop("holder")
-    salted, repeated = salted_sides(headers, contents, CONTENT, "copies", ["header"])
-    # Blobs are joined to their salts first: a payload moves once, and once more per salt if hot.
-    joined = salted.join(repeated.join(blobs, CONTENT), [*CONTENT, "_salt"])
+    joined = spread_join(headers, blobs, CONTENT, "copies", ["header"])
     record = F.concat("header", "payload", F.encode(F.lit(_END * 2), "UTF-8"))
     return joined.select("header", "payload", record.alias("record"))
 
