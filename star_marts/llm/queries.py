@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from star_marts.llm import (
+    bit_sliced_topk,
     byte_bpe,
     secret_scan,
     simhash_dedup,
     source_mixing,
     substring_dedup,
+    vantage_points,
     warc_store,
 )
 from star_marts.llm.common import table
@@ -37,6 +39,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return bit_sliced_topk.top_k(rows, rows.filter(F.col("vec_id") % bit_sliced_topk.QUERY_EVERY == 0))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -45,15 +52,21 @@ def op8_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_store.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vantage_points.nearest(rows, rows.filter(F.col("vec_id") % vantage_points.QUERY_EVERY == 0))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_substring_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op7_secret_scan,
-        op8_content_addressed_warc,
+        op1_substring_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op6_bit_sliced_topk,
+        op7_secret_scan, op8_content_addressed_warc, op9_vantage_points,
     )
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": substring_dedup.ORACLE_SQL,
     "op5_source_mixing": source_mixing.ORACLE_SQL,
+    "op6_bit_sliced_topk": bit_sliced_topk.ORACLE_SQL,
     "op8_content_addressed_warc": warc_store.ORACLE_SQL,
 }
