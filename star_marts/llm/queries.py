@@ -14,6 +14,7 @@ from star_marts.llm import (
     simhash_dedup,
     source_mixing,
     substring_dedup,
+    toxicity,
     vantage_points,
     warc_store,
 )
@@ -27,6 +28,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_sentences", "n_removed")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
 
@@ -60,7 +65,7 @@ def op9_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_substring_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op6_bit_sliced_topk,
+        op1_substring_dedup, op2_toxicity, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op6_bit_sliced_topk,
         op7_secret_scan, op8_content_addressed_warc, op9_vantage_points,
     )
 }
