@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from star_marts.llm import (
+    attention_lm,
     bit_sliced_topk,
     byte_bpe,
     secret_scan,
@@ -62,11 +63,15 @@ def op9_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vantage_points.nearest(rows, rows.filter(F.col("vec_id") % vantage_points.QUERY_EVERY == 0))
 
 
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_toxicity, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op6_bit_sliced_topk,
-        op7_secret_scan, op8_content_addressed_warc, op9_vantage_points,
+        op7_secret_scan, op8_content_addressed_warc, op9_vantage_points, op10_attention_lm,
     )
 }
 ORACLE_SQL: dict[str, str] = {
