@@ -1,20 +1,21 @@
 """Secret scans: fixed patterns, and Markov models that tell random strings from identifiers.
 
-Base spans come from three patterns.  Candidates are long runs of key characters.  Two first-order
-Markov models over characters, one of candidates that a base span marks as secret and one of all
-others, are trained on every distinct candidate of the corpus; a candidate whose log-likelihood
-ratio exceeds a threshold adds a span of kind `random`.  DataFrame operations only.
+Base spans come from three patterns.  Candidates are long runs of key characters outside of them.
+Two first-order Markov models over characters are trained on every distinct labelled string of the
+corpus: random ones are the values of base spans, ordinary ones the candidates that consist of
+words and numbers.  A candidate whose log-likelihood ratio exceeds a threshold adds a span of kind
+`random`.  DataFrame operations only.
 
 Positions are code points, end exclusive.  Defined cases: a null or empty text has no span; a very
 long text is scanned whole; repeated rows each get their spans, but count once for training; an
-empty table gives no rows; without any marked candidate the ratio knows no random strings and adds
-nothing; columns other than doc_id and text are not read by `scan`.
+empty table gives no rows; without any base span the ratio knows no random strings and adds nothing; columns other than doc_id and text are not read by `scan`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from star_marts.llm.common import let, whole_text
 from star_marts.session import stage
@@ -27,8 +28,11 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 LEAST_ASSIGNED = 6
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
+_PART = "(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)"
+ORDINARY = f"^{_PART}(?:[+/_-]+{_PART})*$"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+SMOOTHING = 8.0
 LEAST_RATIO = 12.0  # nats by which a random string must be likelier than an identifier
 _WIDTH = len(ALPHABET) + 1  # code 0 stands for the start
 
@@ -59,37 +63,42 @@ def _located(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def _base(text: Column) -> Column:
-    """Array of (start, kind number, end), in order."""
+    """Array of (start, kind number, end, value), in order; the value is what is secret."""
     assigned = F.filter(_located(text, ASSIGN, 2), lambda s: F.length(s["value"]) >= LEAST_ASSIGNED)
-    return F.array_sort(
-        F.concat(_of_kind(assigned, 0), _of_kind(_located(text, ACCESS), 1), _of_kind(_located(text, HEX), 2))
-    )
+    kinds = [assigned, _located(text, ACCESS), _located(text, HEX)]
+    return F.array_sort(F.concat(*[_of_kind(spans, n) for n, spans in enumerate(kinds)]))
 
 
 def _of_kind(spans: Column, kind: int) -> Column:
-    """(start, kind number, end) of spans that have start and end."""
-    return F.transform(spans, lambda s: F.struct(s["start"], F.lit(kind).alias("kind"), s["end"]))
+    return F.transform(
+        spans, lambda s: F.struct(s["start"], F.lit(kind).alias("kind"), s["end"], s["value"])
+    )
+
+
+def _candidates(text: Column, base: Column) -> Column:
+    """Array of (start, kind number, end, value) of the candidates that touch no base span."""
+    free = lambda spans: F.filter(
+        _of_kind(_located(text, CANDIDATE), len(KINDS)),
+        lambda c: ~F.exists(spans, lambda s: (s["start"] < c["end"]) & (s["end"] > c["start"])),
+    )
+    return let(base, free)
 
 
 def _count(kind: int) -> Column:
     return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
 
 
-def found_spans(docs: DataFrame) -> DataFrame:
-    """`docs` with `_base` (start, kind, end) and `_candidates` (start, end, value, marked)."""
-    text = whole_text()
-    scanned = docs.withColumn("_base", _base(text)).withColumn("_candidates", _located(text, CANDIDATE))
-    marked = let(
-        F.col("_base"),
-        lambda base: F.transform(
-            "_candidates",
-            lambda c: F.struct(
-                c["start"], c["end"], c["value"],
-                F.exists(base, lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])).alias("marked"),
-            ),
+def labelled_strings(docs: DataFrame) -> DataFrame:
+    """value and random, for every distinct string that is known to be either."""
+    found = docs.select(whole_text().alias("text")).withColumn("base", _base(F.col("text")))
+    both = F.concat(
+        F.transform("base", lambda s: F.struct(s["value"], F.lit(True).alias("random"))),
+        F.transform(
+            F.filter(_candidates(F.col("text"), F.col("base")), lambda c: c["value"].rlike(ORDINARY)),
+            lambda c: F.struct(c["value"], F.lit(False).alias("random")),
         ),
     )
-    return scanned.withColumn("_candidates", marked)
+    return found.select(F.inline(both)).distinct()
 
 
 def _steps(value: Column) -> Column:
@@ -107,62 +116,54 @@ def _steps(value: Column) -> Column:
     )
 
 
-def log_ratios(candidates: DataFrame) -> DataFrame:
-    """One row, `ratios` (null if nothing is marked): log P(next | previous) among marked candidates over that among others.
+def log_ratios(strings: DataFrame) -> DataFrame:
+    """One row, `ratios` (null if nothing is random): log P(next | previous) among random strings
+    over that among ordinary ones.
 
-    Counted over the distinct rows of `candidates` (value, marked), one added to every pair.  The
-    array has a number for each pair of the alphabet, whatever the corpus.
+    What follows a character is smoothed by what occurs at all, which counts as `SMOOTHING` further
+    times, so that a character that ordinary strings never have tells something after any other.
+    The array has a number for each pair of the alphabet, whatever the corpus; characters outside
+    of it share the code of the start.
     """
-    steps = candidates.distinct().select("marked", F.explode(_steps(F.col("value"))).alias("step"))
+    steps = strings.select("random", F.explode(_steps(F.col("value"))).alias("step"))
     counts = steps.groupBy("step").agg(
-        F.count(F.when(F.col("marked"), 1)).alias("random"), F.count(F.when(~F.col("marked"), 1)).alias("plain")
+        F.count_if("random").alias("random"), F.count_if(~F.col("random")).alias("plain")
     )
-    spark = candidates.sparkSession
+    spark = strings.sparkSession
     grid = spark.range(_WIDTH * _WIDTH).select(F.col("id").cast("int").alias("step")).join(counts, "step", "left").select(
-        "step", F.floor(F.col("step") / _WIDTH).alias("previous"),
+        "step", F.floor(F.col("step") / _WIDTH).alias("previous"), (F.col("step") % _WIDTH).alias("next"),
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("random", "plain")],
     )
-    totals = grid.groupBy("previous").agg(
-        F.sum("random").alias("all_random"), F.sum("plain").alias("all_plain")
-    )
 
-    def likelihood(count: str, total: str) -> Column:
-        return F.log((F.col(count) + 1.0) / (F.col(total) + float(len(ALPHABET))))
+    def likelihood(count: str) -> Column:
+        total = lambda *by: F.sum(count).over(Window.partitionBy(*by))
+        occurs = (total("next") + 0.5) / (total() + 0.5 * _WIDTH)
+        return F.log((F.col(count) + SMOOTHING * occurs) / (total("previous") + SMOOTHING))
 
-    any_marked = F.max(F.col("all_random") > 0).alias("any")
-    rated = grid.join(totals, "previous").withColumn(
-        "ratio", likelihood("random", "all_random") - likelihood("plain", "all_plain")
-    )
+    any_random = F.max(F.col("random") > 0).alias("any")
+    rated = grid.withColumn("ratio", likelihood("random") - likelihood("plain"))
     rows = rated.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("step", "ratio"))), lambda x: x["ratio"]).alias("ratios"),
-        any_marked,
+        any_random,
     )
     return rows.select(F.when(F.col("any"), F.col("ratios")).alias("ratios"))
 
 
 def with_spans(docs: DataFrame, least_ratio: float = LEAST_RATIO) -> DataFrame:
-    """`docs` with `_base` and `_random`, arrays of (start, kind, end); `_random` has kind 3."""
-    found = found_spans(docs)
-    # Small beside the texts: candidates without the documents, distinct before they are counted.
-    candidates = stage(
-        found_spans(docs.select("text")).select(F.explode("_candidates").alias("c")).select("c.value", "c.marked").distinct(),
-        "candidates",
-    )
+    """`docs` with `_base` and `_random`, arrays of (start, kind number, end, value)."""
+    strings = stage(labelled_strings(docs), "strings")
     # A number per pair of the alphabet comes to the driver, and goes into the plan as one literal.
-    row = log_ratios(candidates).first()["ratios"]
+    row = log_ratios(strings).first()["ratios"]
     numbers = ",".join(repr(float(x)) for x in row or [])
-    ratios = F.split(F.lit(numbers), ",").cast("array<double>") if row else F.lit(None).cast("array<double>")
-    score = lambda value: F.aggregate(
-        _steps(value), F.lit(0.0), lambda total, step: total + F.get(ratios, step)
+    ratios = F.split(F.lit(numbers), ",").cast("array<double>")
+    likelier = lambda c: F.aggregate(
+        _steps(c["value"]), F.lit(0.0), lambda total, step: total + F.get(ratios, step)
     )
-    random = F.transform(
-        F.filter(
-            "_candidates",
-            lambda c: ~c["marked"] & F.coalesce(score(c["value"]) >= least_ratio, F.lit(False)),
-        ),
-        lambda c: F.struct(c["start"], F.lit(len(KINDS)).alias("kind"), c["end"]),
-    )
-    return found.withColumn("_random", random).drop("_candidates")
+    found = docs.withColumn("_base", _base(whole_text()))
+    if row is None:
+        return found.withColumn("_random", F.slice("_base", F.lit(1), F.lit(0)))
+    free = _candidates(whole_text(), F.col("_base"))
+    return found.withColumn("_random", F.filter(free, lambda c: likelier(c) >= least_ratio))
 
 
 def _joined(spans: Column) -> Column:
@@ -188,7 +189,10 @@ def scan(docs: DataFrame, least_ratio: float = LEAST_RATIO) -> DataFrame:
 
 def redact(docs: DataFrame, least_ratio: float = LEAST_RATIO, mask: str = "[secret]") -> DataFrame:
     """`docs` with every span, base or random, replaced by `mask`; overlapping spans by one."""
+    # Apart from other columns, which may have any name.
     names = docs.columns
+    whole = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("_row")
+    docs = docs.select(whole, docs["text"].alias("text"))
     spans = F.array_sort(F.concat("_base", "_random"))
     text = whole_text()
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
@@ -205,9 +209,11 @@ def redact(docs: DataFrame, least_ratio: float = LEAST_RATIO, mask: str = "[secr
     done = F.aggregate(spans, start, step)
     rest = F.substr(text, done["at"] + 1)
     some = F.size("_base") + F.size("_random") > 0
-    out = with_spans(docs, least_ratio).withColumn(
-        "text", F.when(some, F.concat(done["done"], rest)).otherwise(F.col("text"))
-    )
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(some, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return out.select(*names)
+    masked = F.concat(done["done"], rest)
+    changed = {"text": F.when(some, masked).otherwise(F.col("text"))}
+    changed["n_chars"] = F.when(some, F.length(masked).cast("long"))
+    columns = []
+    for i, name in enumerate(names):
+        before = F.col("_row")[f"c{i}"]
+        columns.append((F.coalesce(changed[name], before) if name in changed else before).alias(name))
+    return with_spans(docs, least_ratio).select(*columns)

@@ -1,0 +1,95 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from star_marts.llm import secret_scan as m
+
+PATTERNS = [
+    (re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 1, 6),
+    (re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    (re.compile(r"[0-9a-f]+"), 0, 24),
+]
+HEX = "0123456789abcdef"
+
+
+def base(text):
+    spans = [
+        (f.start(), n, f.end())
+        for n, (pattern, group, least) in enumerate(PATTERNS)
+        for f in pattern.finditer(text or "") if len(f.group(group)) >= least
+    ]
+    return sorted(spans)
+
+
+def corpus(seed=1):
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choices("etaoinsrhld", k=n))
+    key = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    texts = []
+    for _ in range(120):
+        parts = [word(rng.randint(1, 12)) for _ in range(20)] + [word(20)]
+        parts.insert(rng.randrange(20), rng.choice(["token=", 'API_KEY": "', "Password : '", "apikey="]) + key(rng.randint(2, 40)))
+        if rng.random() < 0.3:
+            parts.insert(3, "".join(rng.choices(HEX, k=rng.randint(20, 30))))
+        if rng.random() < 0.3:
+            parts.insert(5, "AKIA" + "".join(rng.choices("ABC123", k=rng.randint(10, 25))))
+        texts.append(" ".join(parts))
+    return texts
+
+
+ODD = [
+    None, "", "token=token:abcdefgh", "secret=short secret='longer1'", "ſecret=abcdefgh PASSWD=abcdefgh", "x" * 50_000,
+    "é😀 token=abcdefgh 😀" + "0" * 30, "AKIAAKIA" + "A" * 13, "token=" + "f" * 30, "deadbeef" * 3 + "g" + "0" * 24, "a_key=abcdefgh",
+    "password=\nabcdefgh", "token =  \tabcdefgh", "api__key=abcdefgh",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = list(enumerate(corpus() + ODD)) + [(0, corpus()[0]), (None, "token=abcdefgh")]
+    return spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS spans", "2 AS _base", "3 AS value")
+
+
+def test_base_spans(docs):
+    texts = docs.select("doc_id", "text").collect()
+    got = m.scan(docs).collect()
+    assert len(got) == len(texts)
+    want = {r.doc_id: base(r.text) for r in texts}
+    assert any(len(w) > 2 for w in want.values())
+    for r in got:
+        spans = want[r.doc_id]
+        listed = ",".join(f"{m.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == n for _, k, _ in spans) for n in range(3)]
+        mine = [s for s in r.spans.split(",") if s]
+        assert [s for s in mine if not s.startswith("random:")] == listed.split(",") * bool(spans)
+        assert [int(s.split(":")[1]) for s in mine] == sorted(int(s.split(":")[1]) for s in mine)
+
+
+def test_random_strings_are_told_from_identifiers(spark):
+    rng = random.Random(8)
+    texts = corpus(5) + ["see " + "".join(rng.choices("ABCXYZabcxyz0123456789", k=32)) + " here" for _ in range(20)]
+    texts += ["see " + "".join(rng.choices("etaoinsrhld", k=32)) + " here" for _ in range(20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in m.scan(frame).filter("spans LIKE '%random%'").collect()}
+    keys, plain = set(range(120, 140)), set(range(140, 160))
+    assert len(keys & set(found)) >= 19 and not plain & set(found)
+    assert all(found[i] == "random:4:36" for i in keys & set(found))
+
+
+def test_redact(docs):
+    rows = {(r.doc_id, r.text): r for r in m.redact(docs).collect()}
+    assert m.redact(docs).columns == docs.columns
+    texts = {r.text for r in rows.values() if r.text}
+    assert not any(base(t.replace("[secret]", " ")) for t in texts)
+    assert (14 + 106, None) in rows or any(t is None for _, t in rows)
+    assert "é😀 [secret] 😀[secret]" in texts and "x" * 50_000 in texts
+
+
+def test_empty(docs):
+    assert m.scan(docs.limit(0)).count() == 0
+    assert m.redact(docs.limit(0)).count() == 0
+    none = m.scan(docs.filter("text = ''")).first()
+    assert none.spans == "" and none.base_sha256 == hashlib.sha256(b"").hexdigest()
