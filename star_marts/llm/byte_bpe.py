@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from star_marts.llm.common import text_batches, whole_text
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-_KNOWN_PIECES = 300_000  # pieces a worker remembers before it starts anew
+_KNOWN_PIECES = 1_000_000  # pieces a worker remembers before it starts anew
+_KNOWN_PAIRS = 1_000_000  # and pairs of tokens
 
 
 class Encoder:
@@ -37,22 +38,28 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {i: t for t, i in ranks.items()}
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.tokens[i] = token
         self.longest = max(map(len, ranks))
-        self._pairs: dict[tuple[int, int], bool] = {}
+        # Every end of a token, and the token if it is one: longer ends are not looked for.
+        self.ending = dict.fromkeys((t[i:] for t in ranks for i in range(1, len(t))), -1) | ranks
+        self.pairs: dict[tuple[int, int], bool] = {}
         self._own: dict[int, bool] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """The definition: merge the neighbours of lowest rank, leftmost first, until none is left."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            ranked = [
-                (self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
-            ]
-            rank, i = min(ranked)
-            if rank == 1 << 60:
-                break
+        rank, none = self.ranks.get, 1 << 60
+        joined = [rank(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while joined and (least := min(joined)) < none:
+            i = joined.index(least)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del joined[i]
+            if i:
+                joined[i - 1] = rank(parts[i - 1] + parts[i], none)
+            if i < len(joined):
+                joined[i] = rank(parts[i] + parts[i + 1], none)
         return [self.ranks[p] for p in parts]
 
     def reaches_itself(self, token: int) -> bool:
@@ -62,10 +69,11 @@ class Encoder:
         return known
 
     def may_follow(self, first: int, second: int) -> bool:
-        known = self._pairs.get((first, second))
-        if known is None:
-            both = self.merged(self.tokens[first] + self.tokens[second])
-            known = self._pairs[first, second] = both == [first, second]
+        """Whether both, as they are, are the encoding of their bytes."""
+        if len(self.pairs) >= _KNOWN_PAIRS:
+            self.pairs.clear()
+        both = self.merged(self.tokens[first] + self.tokens[second])
+        known = self.pairs[first, second] = both == [first, second]
         return known
 
     def encode(self, piece: bytes) -> list[int]:
@@ -80,30 +88,35 @@ class Prefixes:
     """The last token of every prefix of one piece."""
 
     def __init__(self, encoder: Encoder, piece: bytes = b""):
-        self.encoder, self.data, self.last = encoder, bytearray(), []
+        self.encoder, self.data, self.last = encoder, b"", []
         self.append(piece)
 
-    def _last(self, end: int) -> int:
-        """The one token that can end the first `end` bytes."""
-        ranks, data, last, encoder = self.encoder.ranks, self.data, self.last, self.encoder
-        for start in range(max(0, end - encoder.longest), end):
-            token = ranks.get(bytes(data[start:end]))
-            if token is not None and encoder.reaches_itself(token) and (
-                start == 0 or encoder.may_follow(last[start - 1], token)
-            ):
-                return token
-        raise ValueError("a byte has no token")
-
     def append(self, more: bytes) -> None:
-        """Encode `more` after what is there."""
-        for i in range(len(more)):
-            self.data.append(more[i])
-            self.last.append(self._last(len(self.data)))
+        """Encode `more` after what is there: for each new prefix the one token that can end it."""
+        done, self.data = len(self.data), self.data + more
+        data, last, encoder = self.data, self.last, self.encoder
+        ending, pairs = encoder.ending.get, encoder.pairs.get
+        for end in range(done + 1, len(data) + 1):
+            for start in range(end - 1, -1, -1):
+                token = ending(data[start:end])
+                if token is None:
+                    raise ValueError("a byte has no token")
+                if token < 0:
+                    continue
+                if not start:
+                    if encoder.reaches_itself(token):
+                        break
+                else:
+                    fits = pairs((last[start - 1], token))
+                    if encoder.may_follow(last[start - 1], token) if fits is None else fits:
+                        break
+            last.append(token)
 
     def edit(self, start: int, end: int, new: bytes) -> int:
         """Replace bytes start .. end by `new`; returns how many prefixes were computed."""
-        tail, known = bytes(self.data[end:]), self.last[end:]
-        del self.data[start:], self.last[start:]
+        tail, known = self.data[end:], self.last[end:]
+        self.data = self.data[:start]
+        del self.last[start:]
         self.append(new)
         agree = 0
         for i, token in enumerate(known):
@@ -117,7 +130,7 @@ class Prefixes:
         return len(new) + len(known)
 
     def ids(self) -> list[int]:
-        whole = self.encoder.ranks.get(bytes(self.data))
+        whole = self.encoder.ranks.get(self.data)
         if whole is not None:
             return [whole]
         out, end = [], len(self.data)
@@ -133,7 +146,7 @@ class TextEncoder:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.encoder = Encoder({base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)})
-        self.names = {i: str(i) for i in self.encoder.tokens}
+        self.names = [b"%d" % i for i in range(len(self.encoder.tokens))]
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -150,7 +163,7 @@ class TextEncoder:
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids in decimal with commas, SHA-256 of what they decode to."""
         ids = self.encode(text)
-        written = ",".join(map(self.names.__getitem__, ids)).encode()
+        written = b",".join(map(self.names.__getitem__, ids))
         decoded = self.encoder.decode(ids)
         return len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
