@@ -18,6 +18,15 @@ def half_up(numerator: str, denominator: str, scale: int) -> str:
     return f"((({n} + {d}) // (2 * {d}))::DOUBLE / {10**scale})"
 
 
+def divided_first(numerator: str, denominator: str, scale: int, times: int) -> str:
+    """A quotient rounded to `scale` decimals, times a whole number, rounded to two."""
+    n = f"(({numerator})::HUGEINT * {2 * 10**scale})"
+    d = f"nullif(({denominator})::HUGEINT, 0)"
+    whole = f"((({n} + {d}) // (2 * {d})) * {times})"
+    unit = 10 ** (scale - 2)
+    return f"((({whole} * 2 + {unit}) // {2 * unit})::DOUBLE / 100)"
+
+
 def scaled(column: str, scale: int) -> str:
     """A decimal as a whole number of its last digit."""
     return f"({column} * {10**scale})::HUGEINT"
@@ -39,9 +48,9 @@ RELATIONS: dict[str, str] = {
             CASE WHEN p_partkey % 3 = 0 THEN 'city ' || (p_partkey % 60) || ' '
                  ELSE 'CITY ' || (p_partkey % 60) END AS city,
             (10000 + p_partkey % 230)::VARCHAR AS zip,
-            CASE WHEN p_partkey % 13 <> 0 THEN (p_size % 3)::INTEGER END AS l1,
-            CASE WHEN p_partkey % 17 <> 0 THEN (p_size % 9)::INTEGER END AS l2,
-            (p_size % 5)::INTEGER AS l3,
+            CASE WHEN p_partkey % 13 <> 0 THEN (p_size % 3)::BIGINT END AS l1,
+            CASE WHEN p_partkey % 17 <> 0 THEN (p_size % 9)::BIGINT END AS l2,
+            (p_size % 5)::BIGINT AS l3,
             '40.' || lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS latitude,
             '-73.' || lpad((p_partkey % 997)::VARCHAR, 3, '0') AS longitude,
             p_partkey % 10 <> 0 AS is_active,
@@ -73,6 +82,12 @@ RELATIONS: dict[str, str] = {
             (l_quantity::INTEGER * l_linenumber * 4)::INTEGER AS minutes,
             l_extendedprice::DECIMAL(12,2) AS revenue
         FROM lineitem""",
+    "big_sessions": """
+        SELECT o, line, station, session_id, session_date,
+            CASE WHEN o % 97 = 0 THEN NULL WHEN o % 31 = 0 THEN 12345678.5 ELSE kwh END::DECIMAL(18,2) AS kwh,
+            CASE WHEN o % 37 = 0 THEN 3000000000 ELSE minutes END::BIGINT AS minutes,
+            CASE WHEN o % 41 = 0 THEN 123456789 ELSE revenue END::DECIMAL(18,2) AS revenue
+        FROM r_sessions""",
     "zips": "SELECT zip, county FROM (" + mode(
         "zip", "county", "(SELECT zip, county FROM r_registrations WHERE county <> '')"
     ) + ")",
@@ -128,7 +143,7 @@ RELATIONS: dict[str, str] = {
             {half_up("sum(minutes)", "count(minutes)", 2)} AS avg_minutes,
             {half_up(scaled("sum(revenue)", 2), "count(revenue) * 100", 2)} AS avg_revenue,
             CASE WHEN max(ports) > 0 THEN
-                {half_up("sum(minutes) * 100", "max(ports) * 1440", 2)} END AS rate
+                {divided_first("sum(minutes)", "max(ports) * 1440", 6, 100)} END AS rate
         FROM matched GROUP BY station_key, date_key, location_key""",
     "cleaned": """
         SELECT o::VARCHAR AS vin_suffix, city, state, left(zip, 5) AS zip, county, model_year,
@@ -186,12 +201,16 @@ _DEMAND = f"""
 _TIER = """CASE WHEN rate < 20 THEN '0-20% (low)' WHEN rate < 40 THEN '20-40%'
     WHEN rate < 60 THEN '40-60% (healthy)' WHEN rate < 80 THEN '60-80% (high)'
     ELSE '80%+ (saturated)' END"""
+RELATIONS["big_matched"] = RELATIONS["matched"].replace("r_sessions", "big_sessions")
 
 QUERIES: dict[str, str] = {
     "clean_registrations": """
-        SELECT vin_suffix, city, state, zip, county, model_year, make,
+        SELECT NULL::VARCHAR AS record_type, vin_suffix, NULL::VARCHAR AS registration_class, city,
+            state, zip, county, model_year, make, NULL::VARCHAR AS body_type,
             CASE WHEN electric THEN 'ELECTRIC' ELSE 'GAS' END AS fuel_type,
-            strftime(valid_date, '%m/%d/%Y') AS reg_valid_date FROM cleaned""",
+            NULL::VARCHAR AS unladen_weight, NULL::VARCHAR AS max_gross_weight,
+            NULL::VARCHAR AS passengers, strftime(valid_date, '%m/%d/%Y') AS reg_valid_date,
+            NULL::VARCHAR AS reg_expiry_date, NULL::VARCHAR AS color FROM cleaned""",
     "zip_to_county": "SELECT zip, county FROM zips",
     "calendar_year": _YEAR_ROWS,
     "calendar_day": """
@@ -221,7 +240,7 @@ QUERIES: dict[str, str] = {
             open_date::VARCHAR AS open_date, latitude::DOUBLE AS latitude,
             longitude::DOUBLE AS longitude, is_active FROM stations_m""",
     "dim_station_bridged": """
-        SELECT station_key, station_id::DOUBLE AS station_id, station_name, network, zip, city,
+        SELECT station_key, station_id, station_name, network, zip, city,
             'NY' AS state, l1 AS level1_ports, l2 AS level2_ports, l3 AS dc_fast_ports,
             latitude::DOUBLE AS latitude, longitude::DOUBLE AS longitude,
             CASE WHEN is_active THEN 'E' ELSE 'P' END AS status_code,
@@ -233,10 +252,7 @@ QUERIES: dict[str, str] = {
         SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_rank, o_orderkey
         FROM orders""",
     "identity_keys": """
-        SELECT n AS row_count, 1::BIGINT AS min_key, n AS max_key,
-            (n::HUGEINT * (n + 1) // 2)::DOUBLE AS key_sum,
-            (SELECT bit_xor(k) FROM range(1, n + 1) AS r(k)) AS key_xor
-        FROM (SELECT count(*) AS n FROM matched)""",
+        SELECT count(*) AS row_count, count(*) AS distinct_keys, 0::BIGINT AS missing_keys FROM matched""",
     "new_registrations_by_county_year": "SELECT county, year, n AS new_evs FROM new_evs",
     "station_openings_by_county_year": """
         SELECT county, year, n AS new_stations FROM openings""",
@@ -266,7 +282,7 @@ QUERIES: dict[str, str] = {
         SELECT session_id, station_key, date_key, location_key, kwh::DOUBLE AS kwh_delivered,
             minutes AS duration_minutes, revenue::DOUBLE AS revenue_usd,
             price / 1000.0::DOUBLE AS revenue_per_kwh, session_date::VARCHAR AS session_date
-        FROM matched""",
+        FROM big_matched""",
     "session_fact_whole_numbers": f"""
         SELECT session_id, station_key, date_key, round(kwh)::DOUBLE AS kwh_delivered,
             round(revenue)::DOUBLE AS revenue_usd,
@@ -292,7 +308,7 @@ QUERIES: dict[str, str] = {
             kwh::DOUBLE AS kwh_delivered, minutes AS duration_minutes,
             revenue::DOUBLE AS revenue_usd,
             {half_up(scaled("revenue", 2), scaled("kwh", 2), 2)} AS revenue_per_kwh,
-            {half_up(scaled("kwh * 60", 2), "minutes * 100", 2)} AS avg_kw_rate
+            {divided_first(scaled("kwh", 2), "minutes * 100", 8, 60)} AS avg_kw_rate
         FROM bridged""",
     "revenue_by_network": f"""
         SELECT ev_network, count(*) AS session_count, sum(kwh)::DOUBLE AS total_kwh,
@@ -367,8 +383,21 @@ QUERIES: dict[str, str] = {
             count(*) FILTER (WHERE zip = '00000') AS placeholder_zips,
             count(*) FILTER (WHERE model_year IS NULL) AS unknown_years FROM cleaned""",
     "overflow_counts": """
-        SELECT 0::BIGINT AS kwh_delivered, count(*) FILTER (WHERE revenue >= 100000000) AS revenue_usd,
-            count(*) FILTER (WHERE price >= 1000000) AS revenue_per_kwh FROM matched""",
+        SELECT count(*) FILTER (WHERE kwh >= 10000000) AS kwh_delivered,
+            count(*) FILTER (WHERE revenue >= 100000000) AS revenue_usd,
+            count(*) FILTER (WHERE minutes >= 2147483648) AS duration_minutes FROM big_sessions""",
+    "overflow_ratios": """
+        SELECT count(*) FILTER (WHERE price >= 1000000) AS revenue_per_kwh FROM big_matched""",
+    "market_duplicates": """
+        SELECT zip, count(*) AS dup_count FROM markets GROUP BY zip HAVING count(*) > 1""",
+    "session_sample": """
+        SELECT 'sample' AS rows_of, least(5, count(*)) AS row_count FROM r_sessions
+        UNION ALL SELECT 'known', least(5, count(*)) FROM r_sessions""",
+    "snapshot_identity_keys": """
+        SELECT count(*) AS row_count, count(*) AS distinct_keys, 0::BIGINT AS missing_keys FROM snapshot""",
+    "csv_station_feed_mixed": """
+        SELECT id AS ID, station_name AS STATIONNAME, CASE WHEN k % 3 <> 2 THEN zip END AS ZIP,
+            trim(city) AS CITY FROM r_stations""",
     "csv_stations": """
         SELECT id, station_name || ', ' || p_type || ' "model"' AS station_name, ev_network, city,
             zip, CASE WHEN l2 IS NULL THEN 'n/a' ELSE l2::VARCHAR END AS ev_level2_evse_num,

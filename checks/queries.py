@@ -58,6 +58,16 @@ def on_marts(build: Callable[[Marts], DataFrame]) -> Query:
     return query(run)
 
 
+def on_oversized(build: Callable[[Marts], DataFrame]) -> Query:
+    """A query on marts whose sessions have measures beyond their declared types."""
+
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(Marts(spark, SampleLayer(spark, sf_dir, oversized=True), SAMPLE_SETTINGS))
+
+    return query(run)
+
+
 def _layers(spark: SparkSession) -> Layers:
     root = scratch_path(spark, "layers")
     return Layers(spark, root, prefix=root.rsplit("-", 1)[1] + "_").create()
@@ -68,10 +78,7 @@ def _layers(spark: SparkSession) -> Layers:
 
 @on_marts
 def clean_registrations(m: Marts) -> DataFrame:
-    return m.registrations_clean.select(
-        "vin_suffix", "city", "state", "zip", "county", "model_year", "make", "fuel_type",
-        "reg_valid_date",
-    )
+    return m.registrations_clean
 
 
 @on_marts
@@ -156,14 +163,20 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @on_marts
 def identity_keys(m: Marts) -> DataFrame:
-    """Keys 1..n show in their bounds, sum and parity bits, without a shuffle of the keys."""
-    key = F.col("session_key")
-    return facts.with_identity_key(m.fact_session_matched, "session_key").agg(
+    return _key_counts(facts.with_identity_key(m.fact_session_matched, "session_key"), "session_key")
+
+
+@on_marts
+def snapshot_identity_keys(m: Marts) -> DataFrame:
+    snapshot = facts.with_identity_key(m.fact_station_daily_snapshot, "snapshot_key")
+    return _key_counts(snapshot, "snapshot_key")
+
+
+def _key_counts(fact: DataFrame, key: str) -> DataFrame:
+    return fact.agg(
         F.count("*").alias("row_count"),
-        F.min(key).alias("min_key"),
-        F.max(key).alias("max_key"),
-        F.sum(key.cast("decimal(20,0)")).alias("key_sum"),
-        F.bit_xor(key).alias("key_xor"),
+        F.countDistinct(key).alias("distinct_keys"),
+        F.count_if(F.col(key).isNull()).alias("missing_keys"),
     )
 
 
@@ -223,7 +236,7 @@ def largest_locations(m: Marts) -> DataFrame:
 # --- session facts ----------------------------------------------------------------------
 
 
-@on_marts
+@on_oversized
 def session_fact_matched(m: Marts) -> DataFrame:
     return m.fact_session_matched
 
@@ -259,7 +272,10 @@ def session_fact_bridged(m: Marts) -> DataFrame:
 
 @on_marts
 def session_sample(m: Marts) -> DataFrame:
-    return reports.sample_rows(m.raw.sessions)
+    """Any five rows: how many there are, and how many of them the raw table has."""
+    sample = reports.sample_rows(m.raw.sessions)
+    known = sample.join(m.raw.sessions.select("session_id"), "session_id", "left_semi")
+    return quality.row_counts({"sample": sample, "known": known}, "rows_of")
 
 
 # --- reports ----------------------------------------------------------------------------
@@ -380,12 +396,25 @@ def placeholder_counts(m: Marts) -> DataFrame:
     )
 
 
-@on_marts
+@on_oversized
 def overflow_counts(m: Marts) -> DataFrame:
-    return quality.overflow_counts(
-        m.fact_session_matched.select("kwh_delivered", "revenue_usd", "revenue_per_kwh"),
-        schemas.FACT_SESSION_MATCHED,
+    """Of the text, before anything is lost; minutes by the type of the typed sessions."""
+    declared = T.StructType(
+        [schemas.FACT_SESSION_MATCHED[c] for c in ("kwh_delivered", "revenue_usd")]
+        + [schemas.TYPED_SESSIONS["duration_minutes"]]
     )
+    return quality.overflow_counts(m.raw.sessions, declared)
+
+
+@on_oversized
+def overflow_ratios(m: Marts) -> DataFrame:
+    ratio = m.fact_session_matched.select("revenue_per_kwh")
+    return quality.overflow_counts(ratio, schemas.FACT_SESSION_MATCHED)
+
+
+@on_marts
+def market_duplicates(m: Marts) -> DataFrame:
+    return quality.duplicate_keys(m.dim_ev_market, "zip")
 
 
 # --- landing and tables -----------------------------------------------------------------
@@ -429,8 +458,21 @@ def csv_station_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.select("ID", "STATIONNAME", "EVNETWORK", "ZIP", "CITY", "STATE", "OPENDATE")
 
 
+@query
+def csv_station_feed_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of files with different column order, one of them without a column."""
+    feed = SampleLayer(spark, sf_dir).station_feed
+    k = F.col("ID").cast("bigint") % 3
+    path = scratch_path(spark, "mixed-csv")
+    orders = [["ID", "ZIP", "CITY", "STATIONNAME"], ["CITY", "ID", "STATIONNAME", "ZIP"], ["STATIONNAME", "ID", "CITY"]]
+    for n, columns in enumerate(orders):
+        _write_csv(feed.filter(k == n).select(*columns), path)
+    landed = read_by_header(spark, path, schemas.RAW_STATION_FEED)
+    return landed.select("ID", "STATIONNAME", "ZIP", "CITY")
+
+
 def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(
+    df.write.mode("append").options(
         header=True, quote='"', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)

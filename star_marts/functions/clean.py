@@ -30,7 +30,7 @@ def try_number(c: Column | str, precision: int = 38, scale: int = 0) -> Column:
     return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
-def try_whole(c: Column | str, to: str = "int") -> Column:
+def try_whole(c: Column | str, to: str = "bigint") -> Column:
     """Text to a rounded whole number of type `to`, NULL when it is none or does not fit.
 
     Plain digits, the usual case, are read directly; only the rest goes through a decimal.
@@ -40,13 +40,13 @@ def try_whole(c: Column | str, to: str = "int") -> Column:
 
 
 def try_date(c: Column | str) -> Column:
-    """Text to date: ISO first, then month/day/year, else NULL.
+    """Text to date: ISO first, then month/day/year, then day-month name-year, else NULL.
 
     A bare year or month is not a date here, although a plain cast would accept it.
     """
     c = F.trim(_col(c))
     two_dashes = F.substring_index(c, "-", 2) != c
-    return F.coalesce(F.when(two_dashes, c.try_cast("date")), try_us_date(c))
+    return F.coalesce(F.when(two_dashes, c.try_cast("date")), try_us_date(c), try_named_month(c))
 
 
 def try_us_date(c: Column | str) -> Column:
@@ -54,6 +54,17 @@ def try_us_date(c: Column | str) -> Column:
     return F.try_to_date(_col(c), "M/d/yyyy")
 
 
+def try_named_month(c: Column | str) -> Column:
+    """Day, short English month name and year, as in 05-JAN-2025, to date, else NULL."""
+    c = _col(c)
+    # The name is known in one spelling only.
+    named = F.concat_ws(
+        "-", F.split_part(c, F.lit("-"), F.lit(1)), F.initcap(F.split_part(c, F.lit("-"), F.lit(2))),
+        F.split_part(c, F.lit("-"), F.lit(3)),
+    )
+    return F.when(c.rlike("^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"), F.try_to_date(named, "d-MMM-yyyy"))
+
+
 def normalize_zip(c: Column | str) -> Column:
     """Digits only, padded with zeros or cut to five.
 
@@ -73,11 +84,17 @@ def date_key(c: Column | str) -> Column:
     return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
-def half_up_ratio(numerator: Column, denominator: Column, scale: int, precision: int = 18) -> Column:
-    """Decimal quotient rounded half up; NULL where the denominator is zero or NULL."""
-    return F.round(numerator / F.nullif(denominator, F.lit(0)), scale).cast(
-        f"decimal({precision},{scale})"
-    )
+def half_up_ratio(numerator: Column, denominator: Column, scale: int, precision: int = 38) -> Column:
+    """Decimal quotient rounded half up; NULL where the denominator is zero or NULL.
+
+    The type of a quotient of 38 digits leaves it six decimals.  Both sides are therefore taken at
+    18 digits, six of them decimals, where they fit, which leaves it twenty.
+    """
+    near, beside = (c.try_cast("decimal(18,6)") for c in (numerator, denominator))
+    return F.coalesce(
+        F.round(near / F.nullif(beside, F.lit(0)), scale),
+        F.round(numerator / F.nullif(denominator, F.lit(0)), scale),
+    ).cast(f"decimal({precision},{scale})")
 
 
 def money_text(c: Column | str) -> Column:

@@ -6,16 +6,15 @@ then re-uses the partitioning of the roll-up.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_HOT_SHARE = 0.001  # a key with more than this share of the sampled rows is salted
-_SAMPLE_BYTES = 64 << 20  # the sample is about this much of the facts ...
-_LEAST_SAMPLE = 0.0001  # ... but never a smaller share, as sizes may be overestimated
-_SALTS = 64
+from star_marts.session import stage
+
+_SHARES = 4  # a key is hot above this part of a shuffle partition's fair share of the rows
 
 
 def size_in_bytes(df: DataFrame) -> int | None:
@@ -25,79 +24,68 @@ def size_in_bytes(df: DataFrame) -> int | None:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """The test by which the optimizer itself decides to broadcast a join side."""
-    size = size_in_bytes(df)
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
-    return size is not None and size <= _bytes(limit)
-
-
-def _bytes(setting: str) -> int:
-    """'10485760b', '64MB', '1g' or '-1' as a number of bytes."""
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", setting.strip().lower()).groups()
-    return int(number) << (10 * " kmgtp".index(unit or " "))
+def _is_broadcast(join: DataFrame) -> bool:
+    """Whether the optimizer broadcasts a side of this join, so that no key gathers rows."""
+    if not hasattr(join, "_jdf"):
+        return False
+    plan = join._jdf.queryExecution().sparkPlan().toString()
+    at_top = [line.strip() for line in plan.splitlines()[:2]]
+    return any("BroadcastHashJoin" in line for line in at_top)
 
 
 def lookup_join(
     facts: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "left",
-    salts: int = _SALTS,
 ) -> DataFrame:
     """Join facts to a dimension on its key columns; `how` is left, inner or left_anti.
 
-    A dimension below the session's broadcast threshold is joined as is: the optimizer
-    broadcasts it and no fact row moves.  Pass stored or staged dimensions: their size is
-    that of their files, while the estimate for a join is the product of its sides.  A
-    larger dimension is shuffled, with the hot keys spread
-    over `salts` partitions: their dimension rows are repeated once per salt, and so are
-    those only.  Which keys are hot is read from a sample; that choice moves rows between
-    tasks and never changes the result.
+    If the optimizer broadcasts the dimension, that is all: no fact row moves.  Pass stored or
+    staged dimensions: their size is that of their files, while the estimate for a join is the
+    product of its sides.  A larger dimension is shuffled, and the rows of hot keys are spread.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if _fits_broadcast(dimension):
-        return facts.join(dimension, keys, how)
-    return salted_join(facts, dimension, keys, how, salts)
+    plain = facts.join(dimension, keys, how)
+    return plain if _is_broadcast(plain) else salted_join(facts, dimension, keys, how)
+
+
+def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys, missing ones included, with more than a quarter of a task's fair share of the rows.
+
+    `_salts` is the number of such quarters they have.  All rows are counted, once.  There are
+    fewer hot keys than four times the shuffle partitions.
+    """
+    counts = stage(facts.groupBy(*keys).agg(F.count("*").alias("_n")), "counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, total // (_SHARES * tasks))
+    hot = counts.filter(F.col("_n") > most)
+    return stage(hot.select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_salts")), "hot")
 
 
 def salted_join(
     facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left",
-    salts: int = _SALTS, sample: float | None = None,
 ) -> DataFrame:
-    """The shuffled form of `lookup_join`."""
-    keys = list(keys)
-    hot = _hot_keys(facts, keys, _sample_share(facts) if sample is None else sample)
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    # A hash of the row, not a random number: a retried task must repeat its choice.
-    spread = F.pmod(F.xxhash64(*[f"`{c}`" for c in facts.columns]), F.lit(salts))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    salted_facts = facts.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(is_hot | no_key, spread).otherwise(F.lit(0).cast("bigint"))
-    ).drop("_hot")
-    every_salt = F.expr(f"sequence(0L, {salts - 1}L)")
-    salted_dimension = dimension.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.expr("array(0L)")))
-    ).drop("_hot")
-    joined = salted_facts.join(salted_dimension, [*keys, "_salt"], how).drop("_salt")
-    tail = [c for c in dimension.columns if c not in keys] if how != "left_anti" else []
-    return joined.select(*keys, *[c for c in facts.columns if c not in keys], *tail)
-
+    """The shuffled form of `lookup_join`: salts in proportion to the rows of a key.
 
-def _sample_share(facts: DataFrame) -> float:
-    size = size_in_bytes(facts) or 1
-    return min(1.0, max(_LEAST_SAMPLE, _SAMPLE_BYTES / size))
+    The salt is a hash of the row, not a random number: a retried task must repeat its choice.
+    Rows that are equal in every column therefore stay together.
+    """
+    keys = list(keys)
+    hot = hot_keys(facts, keys)
 
+    def same(df: DataFrame) -> Column:
+        return reduce(Column.__and__, [df[k].eqNullSafe(hot[k]) for k in keys])
 
-def _hot_keys(facts: DataFrame, keys: Sequence[str], sample: float) -> DataFrame:
-    """Keys above the hot share in a sample: fewer than 1 / share rows by definition."""
-    counts = (
-        facts.select(*keys).dropna().sample(sample, seed=1).groupBy(*keys).count()
+    spread = F.pmod(F.xxhash64(*[facts[c] for c in facts.columns]), hot["_salts"])
+    salted_facts = facts.join(hot, same(facts), "left").select(
+        *[facts[c] for c in facts.columns], F.coalesce(spread, F.lit(0)).cast("int").alias("_salt")
     )
-    spark = facts.sparkSession
-    total = counts.select(F.sum("count")).scalar()
-    rows = counts.filter(F.col("count") > total * _HOT_SHARE).drop("count").collect()
-    schema = facts.select(*keys).schema
-    return spark.createDataFrame(rows, schema).withColumn("_hot", F.lit(True))
+    every_salt = F.sequence(F.lit(0), F.coalesce(hot["_salts"], F.lit(1)) - 1)
+    salted_dimension = dimension.join(hot, same(dimension), "left").select(
+        *[dimension[c] for c in dimension.columns], F.explode(every_salt).alias("_salt")
+    )
+    joined = salted_facts.join(salted_dimension, [*keys, "_salt"], how).drop("_salt")
+    tail = [c for c in dimension.columns if c not in keys] if how != "left_anti" else []
+    return joined.select(*keys, *[c for c in facts.columns if c not in keys], *tail)
 
 
 def lookup_star(

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from star_marts.session import stage
 
@@ -28,7 +28,7 @@ def with_surrogate_key(
     is dense and unique but not the same from one rebuild to the next.
 
     The numbered rows are staged once, because positions hold only for one run of the plan.
-    What comes back is a scan of that table with its true size, so it needs no staging again.
+    What comes back is a scan of that table, joined to the first key of each write task.
     """
     rows = df
     if order_by:
@@ -37,20 +37,18 @@ def with_surrogate_key(
         ]
         rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = stage(rows.withColumn("_row", F.monotonically_increasing_id()), name)
-    chunk = F.shiftright("_row", _POSITION_BITS).cast("int")
-    position = F.col("_row").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    # One number per write task comes to the driver, however many rows a task wrote.
-    sizes = numbered.groupBy(chunk.alias("chunk")).agg((F.max(position) + 1).alias("size"))
-    before = _rows_before({r["chunk"]: r["size"] for r in sizes.collect()})
-    key = F.element_at(before, chunk + 1) + position + 1
-    return numbered.select(key.alias(name), *df.columns)
-
-
-def _rows_before(sizes: dict[int, int]) -> Column:
-    """Constant array: at each chunk, the rows of all chunks before it."""
-    in_order = [sizes.get(chunk, 0) for chunk in range(max(sizes, default=0) + 1)]
-    starts = accumulate(in_order[:-1], initial=0)
-    return F.expr(f"array({', '.join(f'{start}L' for start in starts)})")
+    chunk = F.shiftright("_row", _POSITION_BITS).alias("_chunk")
+    position = F.col("_row").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_position")
+    placed = numbered.select(chunk, position, *df.columns)
+    # A row per write task, however many rows it wrote: their running total is the one global step.
+    sizes = placed.groupBy("_chunk").agg((F.max("_position") + 1).alias("_size"))
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stage(
+        sizes.select("_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")),
+        f"{name}-starts",
+    )
+    key = F.col("_start") + F.col("_position") + 1
+    return placed.join(starts, "_chunk").select(key.alias(name), *df.columns)
 
 
 def modulo_bridge_key(identifier: Column, dimension: DataFrame) -> Column:

@@ -124,7 +124,7 @@ def dim_station_bridged(feed: DataFrame) -> DataFrame:
     """Stations of the header-named feed, keyed in the order of their numeric id."""
     rows = feed.filter(F.col("ID").isNotNull()).select(
         F.col("ID").alias("_id"),
-        try_number("ID").alias("station_id"),
+        try_whole("ID").alias("station_id"),
         F.col("STATIONNAME").alias("station_name"),
         F.col("EVNETWORK").alias("network"),
         F.trim("ZIP").alias("zip"),

@@ -21,7 +21,6 @@ from star_marts.operators import (
     lookup_join,
     lookup_star,
     modulo_bridge_key,
-    with_surrogate_key,
 )
 from star_marts.session import stage
 
@@ -38,7 +37,7 @@ def registrations_by_county_year(
         & (try_us_date("reg_valid_date") >= F.lit(since))
     ).select(
         norm_text("county").alias("county"),
-        try_whole("model_year").alias("year"),
+        try_whole("model_year", "int").alias("year"),  # of another year than four digits none is kept
     )
     in_range = kept.filter(F.col("year").between(first, last))
     return in_range.groupBy("county", "year").agg(F.count("*").alias("n"))
@@ -99,11 +98,12 @@ def fact_session_matched(
 ) -> DataFrame:
     """Sessions whose station id is known and whose date is one, at session grain.
 
-    Measures are read at the scale of their columns; `scale=0` reads them as whole numbers.
-    Ratios have more room than their declared type, see `quality.overflow_counts`.
+    Measures are read at the scale of their columns and at all 38 digits; `scale=0` reads them as
+    whole numbers.  What exceeds a declared type is counted by `quality.overflow_counts` and is
+    an error where the fact is stored.
     """
-    kwh = try_number("kwh_delivered", 10, 3 if scale is None else scale).cast("decimal(10,3)")
-    revenue = try_number("revenue_usd", 10, 2 if scale is None else scale).cast("decimal(10,2)")
+    kwh = try_number("kwh_delivered", 38, 3 if scale is None else scale).cast("decimal(38,3)")
+    revenue = try_number("revenue_usd", 38, 2 if scale is None else scale).cast("decimal(38,2)")
     dated = sessions.select(
         "session_id",
         "station_id",
@@ -131,8 +131,12 @@ def fact_session_matched(
 
 
 def with_identity_key(fact: DataFrame, name: str) -> DataFrame:
-    """Dense identity key for a fact: no sort and no shuffle, in no particular order."""
-    return with_surrogate_key(fact, name)
+    """Unique 64-bit identity key for a fact, made in the one write of it.
+
+    Numbers grow with the write task and the row in it: they have gaps, and are not the same
+    from one rebuild to the next.  Nothing joins on them.
+    """
+    return fact.select((F.monotonically_increasing_id() + 1).alias(name), *fact.columns)
 
 
 def orphan_sessions(sessions: DataFrame, stations: DataFrame) -> DataFrame:
@@ -160,9 +164,8 @@ def fact_session_bridged(
         "station_key", modulo_bridge_key(F.col("station_id"), stations)
     ).drop("station_id")
     mapped = lookup_join(bridged, placed, "station_key", "inner")
-    # The calendar's length is checked where it is made, so it may always be broadcast.
-    days = F.broadcast(dates.select(F.col("full_date").alias("session_date"), "date_key"))
-    minutes = F.col("duration_minutes").cast("decimal(10,0)")
+    days = dates.select(F.col("full_date").alias("session_date"), "date_key")
+    minutes = F.col("duration_minutes").cast("decimal(19,0)")
     return mapped.join(days, "session_date", "left").select(
         "session_id",
         "station_key",
@@ -173,9 +176,8 @@ def fact_session_bridged(
         "duration_minutes",
         "revenue_usd",
         half_up_ratio(F.col("revenue_usd"), F.col("kwh_delivered"), 2).alias("revenue_per_kwh"),
-        half_up_ratio(F.col("kwh_delivered") * F.lit(60).cast("decimal(2,0)"), minutes, 2).alias(
-            "avg_kw_rate"
-        ),
+        # Divided first, to six decimals more than the measure has, and then multiplied.
+        F.round(half_up_ratio(F.col("kwh_delivered"), minutes, 8, 28) * 60, 2).alias("avg_kw_rate"),
     )
 
 
@@ -194,8 +196,8 @@ def fact_station_daily_snapshot(sessions: DataFrame, stations: DataFrame) -> Dat
         F.count("revenue_usd").alias("_paid"),
     )
     ports = stations.select("station_key", "total_port_count")
-    minutes = F.col("_minutes").cast("decimal(18,0)")
-    capacity = (F.col("total_port_count").cast("bigint") * _MINUTES_PER_DAY).cast("decimal(18,0)")
+    minutes = F.col("_minutes").cast("decimal(19,0)")
+    capacity = F.col("total_port_count").cast("decimal(19,0)") * _MINUTES_PER_DAY
     return days.join(ports, "station_key").select(
         "station_key",
         "date_key",
@@ -208,6 +210,6 @@ def fact_station_daily_snapshot(sessions: DataFrame, stations: DataFrame) -> Dat
             "avg_revenue_per_session"
         ),
         F.when(
-            F.col("total_port_count") > 0, half_up_ratio(minutes * 100, capacity, 2)
+            F.col("total_port_count") > 0, F.round(half_up_ratio(minutes, capacity, 6, 28) * 100, 2)
         ).alias("utilization_rate_pct"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from star_marts import fixed_values as fixed
+from star_marts import schemas
 from star_marts.functions import dim_date
 from star_marts.plans import dimensions, facts, staging
 from star_marts.plans.raw import RawLayer
@@ -44,9 +45,8 @@ class Settings:
 class Marts:
     """Tables by name; asking for one builds what it depends on.
 
-    With `layers` every table is written once and read back from there.  Without, dimensions
-    stay where their keys were staged, so that joins know their true size, and calendars and
-    the large tables (facts, cleaned registrations) stay plans.
+    With `layers` every table is written once, with its declared schema, and read back from
+    there.  Without, dimensions and cleaned registrations are staged, and facts stay plans.
     """
 
     TABLES = (
@@ -69,17 +69,21 @@ class Marts:
         return {name: getattr(self, name) for name in self.TABLES}
 
     def _keep(self, name: str, df: DataFrame, layer: str = "marts") -> DataFrame:
-        """Dimensions come staged with their keys, so without layers there is nothing to do."""
-        return df if self.layers is None else self.layers.replace(df, f"{layer}.{name}")
+        """Write a table once.  Without layers it is staged, so that joins know its true size."""
+        if self.layers is None:
+            return stage(df, name)
+        return self.layers.replace(df, f"{layer}.{name}", schemas.MARTS.get(name))
 
     def _fact(self, name: str, df: DataFrame, key: str | None = None) -> DataFrame:
         """Only stored facts have an identity key: nothing joins on it."""
         if self.layers is None:
             return df
         rows = df if key is None else facts.with_identity_key(df, key)
+        schema = schemas.MARTS.get(name)
         if not self.settings.facts_by_month:
-            return self.layers.replace(rows, f"marts.{name}")
-        monthly = rows.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
+            return self.layers.replace(rows, f"marts.{name}", schema)
+        typed = rows if schema is None else schemas.conform(rows, schema)
+        monthly = typed.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
         return self.layers.replace(monthly, f"marts.{name}", partition_by=["month_key"])
 
     # --- county generation --------------------------------------------------------------
@@ -87,7 +91,7 @@ class Marts:
     @cached_property
     def zip_to_county(self) -> DataFrame:
         df = dimensions.zip_to_county(self.raw.registrations, self.settings.county_state)
-        return stage(df, "zip_to_county") if self.layers is None else self._keep("zip_to_county", df)
+        return self._keep("zip_to_county", df)
 
     @cached_property
     def dim_date(self) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from star_marts.functions import try_number
+
 
 def row_counts(tables: Mapping[str, DataFrame], name: str = "table_name") -> DataFrame:
     """One row per table with its row count."""
@@ -69,13 +71,16 @@ def placeholder_counts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame
 
 
 def overflow_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Per column of the schema, the values that would not fit its declared type."""
-    shared = [f for f in schema.fields if f.name in df.columns]
-    return df.agg(
-        *[
-            F.count(
-                F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), 1)
-            ).alias(f.name)
-            for f in shared
-        ]
-    )
+    """Per column of the schema, the values that would not fit its declared type.
+
+    Text is read as numbers of 38 digits first, at the scale of the declared type; what is no
+    number at all does not count.
+    """
+
+    def misfit(f: T.StructField) -> Column:
+        value = F.col(f.name)
+        if isinstance(df.schema[f.name].dataType, T.StringType) and isinstance(f.dataType, T.NumericType):
+            value = try_number(value, 38, getattr(f.dataType, "scale", 0))
+        return F.count_if(value.isNotNull() & value.try_cast(f.dataType).isNull()).alias(f.name)
+
+    return df.agg(*[misfit(f) for f in schema.fields if f.name in df.columns])

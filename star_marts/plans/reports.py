@@ -187,7 +187,7 @@ def monthly_revenue(sessions: DataFrame, dates: DataFrame) -> DataFrame:
             F.count("revenue_usd").alias("paid"),
         )
     )
-    months = per_day.join(F.broadcast(dates.select("date_key", "month", "month_name")), "date_key")
+    months = per_day.join(dates.select("date_key", "month", "month_name"), "date_key")
     return (
         months.groupBy("month", "month_name")
         .agg(

@@ -27,6 +27,6 @@ def clean_registrations(
         "zip": zip_rule,
         "county": norm_text,
         "make": norm_text,
-        "model_year": try_whole,
+        "model_year": lambda c: try_whole(c, "int"),
     }
     return rows.select(*[rules.get(n, F.col)(n).alias(n) for n in names])

@@ -42,9 +42,12 @@ def _text(c: Column) -> Column:
 class SampleLayer:
     """The tables of `RawLayer`, each derived when asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, oversized: bool = False):
+        """`oversized` gives some sessions measures beyond their declared types, and some a date
+        with the name of its month."""
         self.spark = spark
         self.sf_dir = sf_dir
+        self.oversized = oversized
 
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -145,15 +148,27 @@ class SampleLayer:
 
     def _sessions(self, session_id: Column) -> DataFrame:
         o, line = F.col("l_orderkey"), F.col("l_linenumber")
+        shipped = F.col("l_shipdate").cast("date")
+
+        def beyond(every: int, value: str, else_: Column) -> Column:
+            return F.when(o % every == 0, value).otherwise(else_) if self.oversized else else_
+
+        date = _text(shipped)
+        if self.oversized:
+            named = F.upper(F.date_format(shipped, "dd-MMM-yyyy"))
+            date = F.when(o % 29 == 0, named).otherwise(date)
         return self._table("lineitem").select(
             session_id.alias("session_id"),
             _text(F.col("l_partkey")).alias("station_id"),
             F.when(o % 101 == 0, "bad")
-            .otherwise(_text(F.col("l_shipdate").cast("date"))).alias("session_date"),
+            .otherwise(date).alias("session_date"),
             F.when(o % 97 == 0, "")
-            .otherwise(_text(F.col("l_quantity").cast("decimal(10,2)"))).alias("kwh_delivered"),
-            _text(F.col("l_quantity").cast("int") * line * 4).alias("duration_minutes"),
-            _text(F.col("l_extendedprice").cast("decimal(12,2)")).alias("revenue_usd"),
+            .otherwise(beyond(31, "12345678.5", _text(F.col("l_quantity").cast("decimal(10,2)"))))
+            .alias("kwh_delivered"),
+            beyond(37, "3000000000", _text(F.col("l_quantity").cast("int") * line * 4))
+            .alias("duration_minutes"),
+            beyond(41, "123456789.00", _text(F.col("l_extendedprice").cast("decimal(12,2)")))
+            .alias("revenue_usd"),
         )
 
     @cached_property

@@ -1,4 +1,8 @@
-"""Declared schemas of the raw landing tables and the marts."""
+"""Declared schemas of the raw landing tables and the marts.
+
+Fixed values: names, order and types of the columns are those of the tables this library replaces,
+but for whole numbers, which are 64-bit wherever they count or identify.
+"""
 
 from __future__ import annotations
 
@@ -79,10 +83,10 @@ DIM_STATION_MATCHED = typed(
     zip=STRING,
     county=STRING,
     location_key=LONG,
-    level1_count=INT,
-    level2_count=INT,
-    dc_fast_count=INT,
-    total_port_count=INT,
+    level1_count=LONG,
+    level2_count=LONG,
+    dc_fast_count=LONG,
+    total_port_count=LONG,
     connector_types=STRING,
     access_code=STRING,
     facility_type=STRING,
@@ -110,7 +114,7 @@ FACT_SESSION_MATCHED = typed(
     date_key=INT,
     location_key=LONG,
     kwh_delivered=T.DecimalType(10, 3),
-    duration_minutes=INT,
+    duration_minutes=LONG,
     revenue_usd=T.DecimalType(10, 2),
     revenue_per_kwh=T.DecimalType(6, 3),
     session_date=DATE,
@@ -127,6 +131,76 @@ FACT_STATION_DAILY = typed(
     avg_revenue_per_session=T.DecimalType(8, 2),
     utilization_rate_pct=T.DecimalType(5, 2),
 )
+ZIP_TO_COUNTY = typed(zip=STRING, county=STRING)
+REGISTRATIONS_CLEAN = typed(
+    **{name: INT if name == "model_year" else STRING for name in fixed.CLEAN_REGISTRATION_COLUMNS}
+)
+DIM_DATE_BRIDGED = typed(**{f.name: f.dataType for f in DIM_DATE_DAY.fields} | {"is_weekend": INT})
+DIM_STATION_BRIDGED = typed(
+    station_key=LONG,
+    station_id=LONG,
+    station_name=STRING,
+    network=STRING,
+    zip=STRING,
+    city=STRING,
+    state=STRING,
+    level1_ports=LONG,
+    level2_ports=LONG,
+    dc_fast_ports=LONG,
+    latitude=T.DecimalType(10, 6),
+    longitude=T.DecimalType(10, 6),
+    status_code=STRING,
+    open_date=DATE,
+)
+DIM_LOCATION_ZIP_CITY = typed(location_key=LONG, zip=STRING, city=STRING, state=STRING, county=STRING)
+DIM_EV_MARKET = typed(
+    market_key=LONG,
+    zip=STRING,
+    city=STRING,
+    county=STRING,
+    total_ev_registrations=LONG,
+    unique_makes=LONG,
+    most_common_make=STRING,
+)
+FACT_SESSION_BRIDGED = typed(
+    session_id=LONG,
+    station_key=LONG,
+    date_key=INT,
+    location_key=LONG,
+    market_key=LONG,
+    kwh_delivered=T.DecimalType(10, 2),
+    duration_minutes=INT,
+    revenue_usd=T.DecimalType(10, 2),
+    revenue_per_kwh=T.DecimalType(18, 2),
+    avg_kw_rate=T.DecimalType(18, 2),
+)
+
+
+
+def roomy(schema: T.StructType, *ratios: str) -> T.StructType:
+    """A schema whose ratios have 18 digits: a ratio of two good values is no reason to fail."""
+    wide = {n: T.DecimalType(18, schema[n].dataType.scale) for n in ratios}
+    return T.StructType([T.StructField(f.name, wide.get(f.name, f.dataType)) for f in schema.fields])
+
+
+# Every stored table by name.
+MARTS = {
+    "zip_to_county": ZIP_TO_COUNTY,
+    "dim_date": DIM_DATE_DAY,
+    "dim_date_bridged": DIM_DATE_BRIDGED,
+    "dim_location_county": DIM_LOCATION_COUNTY,
+    "dim_station_matched": DIM_STATION_MATCHED,
+    "fact_market_demand": FACT_MARKET_DEMAND,
+    "fact_session_matched": roomy(FACT_SESSION_MATCHED, "revenue_per_kwh"),
+    "fact_station_daily_snapshot": roomy(
+        FACT_STATION_DAILY, "avg_session_duration", "avg_revenue_per_session", "utilization_rate_pct"
+    ),
+    "registrations_clean": REGISTRATIONS_CLEAN,
+    "dim_station_bridged": DIM_STATION_BRIDGED,
+    "dim_location_zip_city": DIM_LOCATION_ZIP_CITY,
+    "dim_ev_market": DIM_EV_MARKET,
+    "fact_session_bridged": FACT_SESSION_BRIDGED,
+}
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

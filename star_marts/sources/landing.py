@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,12 +130,12 @@ def read_by_header(
     """Read text columns named by the header, regardless of case, blanks and order.
 
     With a schema, its columns are picked by name and missing ones are NULL.  Short rows are
-    padded and surplus fields dropped.  Files whose headers differ go in as separate paths;
-    a directory counts as one path and must share one header.
+    padded and surplus fields dropped.  Files of one folder may differ in their headers: those
+    with the same one are read together.
     """
     frames = []
-    for path in [paths] if isinstance(paths, str) else paths:
-        rows = _reader(spark, multiline, trim, header=True).csv(path)
+    for files in _files_by_header(spark, [paths] if isinstance(paths, str) else list(paths)):
+        rows = _reader(spark, multiline, trim, header=True).csv(files)
         rows = rows.toDF(*[normalize_name(c) for c in rows.columns])
         if schema is not None:
             have = {c.upper(): c for c in rows.columns}
@@ -147,7 +148,26 @@ def read_by_header(
                 ]
             )
         frames.append(_null_tokens(rows, null_tokens))
+    if not frames:
+        return spark.createDataFrame([], strings(schema.fieldNames() if schema is not None else []))
     merged = frames[0]
     for frame in frames[1:]:
         merged = merged.unionByName(frame, allowMissingColumns=True)
     return merged
+
+
+def _files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files of all paths, together with those that have the same first line.
+
+    The lines come from the first block of each file; a name and a line per file reach the
+    driver, which lists the files for a scan anyway.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    ).filter("start = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        found.setdefault(row["header"], []).append(unquote(row["file"]))
+    return list(found.values())

@@ -14,6 +14,11 @@ from star_marts.session import delete_folder
 LAYERS = ("raw", "staging", "marts")
 
 
+def sql_text(value: str) -> str:
+    """A text for between single quotes."""
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class Layers:
     """Three databases under one root folder; tables are named 'layer.table'.
 
@@ -29,7 +34,7 @@ class Layers:
         for layer in LAYERS:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}` "
-                f"LOCATION '{self.root}/{layer}'"
+                f"LOCATION '{sql_text(f'{self.root}/{layer}')}'"
             )
         return self
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from star_marts.operators import lookup_join, lookup_star, size_in_bytes
-from star_marts.operators.joins import _bytes, salted_join
+from star_marts.operators.joins import hot_keys, salted_join
 from star_marts.session import stage
 
 
@@ -25,7 +25,7 @@ def dimension(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
 def test_salted_equals_plain(facts, dimension, how):
-    salted = salted_join(facts, dimension, ["k"], how, salts=8, sample=0.5)
+    salted = salted_join(facts, dimension, ["k"], how)
     assert plain(salted) == plain(facts.join(dimension, "k", how))
 
 
@@ -57,14 +57,14 @@ def test_hot_and_missing_keys_are_spread(spark, fixed_tasks):
 
 def test_only_hot_keys_repeat_in_the_dimension(spark, fixed_tasks):
     facts = spark.range(10_000).select(F.when(F.col("id") < 5000, 7).otherwise(F.col("id")).alias("k"))
-    salted = salted_join(facts, spark.range(10_000).withColumnRenamed("id", "k"), ["k"], "inner", salts=8)
+    salted = salted_join(facts, spark.range(10_000).withColumnRenamed("id", "k"), ["k"], "inner")
     assert salted.count() == 10_000
 
 
 def test_composite_key(spark, facts):
     two = facts.withColumn("j", F.col("row") % 2)
     dimension = two.select("k", "j").dropna().distinct().withColumn("attr", F.lit(1))
-    salted = salted_join(two, dimension, ["k", "j"], "left", salts=4, sample=0.5)
+    salted = salted_join(two, dimension, ["k", "j"], "left")
     assert plain(salted) == plain(two.join(dimension, ["k", "j"], "left"))
 
 
@@ -85,6 +85,25 @@ def test_star_keeps_the_grain(spark, facts, dimension):
 
 def test_sizes(spark, dimension):
     assert size_in_bytes(stage(dimension, "dimension")) < 10_000
-    assert [_bytes(s) for s in ("10485760b", "10MB", "64k", "1g", "-1", "5")] == [
-        10485760, 10485760, 65536, 1 << 30, -1, 5,
-    ]
+
+
+def test_salts_follow_the_rows_of_a_key(spark, fixed_tasks):
+    """Sixteen tasks, so a key is hot above a 64th of the rows."""
+    n = F.col("id")
+    key = F.when(n < 32_000, 1).when(n < 48_000, None).otherwise(n)
+    facts = spark.range(64_000).select(key.alias("k"))
+    assert plain(hot_keys(facts, ["k"])) == [(1, 32), (None, 16)]
+
+
+def test_many_keys_just_under_the_old_share_are_even(spark, fixed_tasks):
+    """Each key has less than a thousandth of the rows, and some share a task."""
+    facts = spark.range(48_000).select((F.col("id") % 1100).alias("k"), F.col("id").alias("row"))
+    dimension = spark.range(1100).select(F.col("id").alias("k"), F.lit("x").alias("attr"))
+    assert largest_task(lookup_join(facts, dimension, "k", "left")) < 2 / 16
+
+
+def test_a_third_of_the_rows_on_one_key(spark, fixed_tasks):
+    n = F.col("id")
+    facts = spark.range(48_000).select(F.when(n % 3 == 0, 1).otherwise(n % 5000).alias("k"), n.alias("row"))
+    dimension = spark.range(5000).select(n.alias("k"), F.lit("x").alias("attr"))
+    assert largest_task(lookup_join(facts, dimension, "k", "inner")) < 2 / 16

@@ -107,6 +107,19 @@ def test_files_with_different_headers(spark, write):
     assert rows(got.select("ID", "CITY", "STATE"), "ID") == [("1", "Troy", None), ("2", "Rome", "NY")]
 
 
+def test_one_folder_of_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "with blank").mkdir()
+    for name, text in {
+        "a.csv": "ID,ZIP,CITY\n1,10001,TROY\n", "b.csv": "CITY,ID,ZIP\nROME,2,10002\n",
+        "c.csv": "ID,CITY\n3,OVID\n", "d.csv": "ID,ZIP,CITY\n4,10004,AVON\n",
+    }.items():
+        (tmp_path / "with blank" / name).write_text(text)
+    got = read_by_header(spark, str(tmp_path / "with blank"), schemas.strings(["ID", "ZIP", "CITY"]))
+    assert rows(got, "ID") == [
+        ("1", "10001", "TROY"), ("2", "10002", "ROME"), ("3", None, "OVID"), ("4", "10004", "AVON"),
+    ]
+
+
 def test_names():
     assert normalize_name("EV Level1 EVSE Num") == "EVLEVEL1EVSENUM"
     assert [normalize_name(n) for n in ("Station Name", "station_name")] == ["STATIONNAME"] * 2

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from star_marts import fixed_values as fixed
 from star_marts import schemas
-from star_marts.functions import dim_date
+from star_marts.functions import dim_date, half_up_ratio
 from star_marts.plans import dimensions, facts, quality, reports, staging
 
 
@@ -272,7 +272,8 @@ def test_matched_sessions(spark, matched_stations, sessions):
     assert sorted(r.session_id for r in orphans.collect()) == ["s4", "s5"]
     assert tuple(quality.reconcile(sessions, fact).first()) == (6, 3, 3)
     keyed = facts.with_identity_key(fact, "session_key")
-    assert sorted(r.session_key for r in keyed.collect()) == [1, 2, 3]
+    keys = [r.session_key for r in keyed.collect()]
+    assert len(set(keys)) == 3 and None not in keys
 
 
 def test_whole_number_reading(spark, matched_stations, sessions):
@@ -331,6 +332,29 @@ def test_station_reports(spark, matched_stations):
     assert reports.largest_locations(locations).first().county_name == "KINGS"
 
 
+def test_nothing_is_lost_in_reading(spark, matched_stations):
+    rows = frame(
+        spark, schemas.RAW_SESSIONS,
+        {"session_id": "big", "station_id": "10", "session_date": "05-JAN-2025", "kwh_delivered": "12345678.5",
+         "duration_minutes": "3000000000", "revenue_usd": "123456789.00"},
+    )
+    got = facts.fact_session_matched(rows, matched_stations).first()
+    assert (got.kwh_delivered, got.revenue_usd) == (Decimal("12345678.500"), Decimal("123456789.00"))
+    assert (got.duration_minutes, got.date_key) == (3_000_000_000, 20250105)
+    assert got.revenue_per_kwh == Decimal("10.000")
+    counts = quality.overflow_counts(rows, schemas.FACT_SESSION_MATCHED).first()
+    assert (counts.kwh_delivered, counts.revenue_usd, counts.duration_minutes) == (1, 1, 0)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        schemas.conform(rows.select("kwh_delivered").select(F.col("kwh_delivered").cast("decimal(38,3)").alias("kwh_delivered")), schemas.typed(kwh_delivered=schemas.FACT_SESSION_MATCHED["kwh_delivered"].dataType)).collect()
+
+
+def test_ratios_are_divided_before_they_are_multiplied(spark):
+    q = spark.range(1).select(
+        F.round(half_up_ratio(F.lit(Decimal("10.01")), F.lit(Decimal("24")), 8, 28) * 60, 2).alias("rate")
+    )
+    assert q.first().rate == Decimal("25.02")
+
+
 def test_overflowing_values_are_counted(spark):
     fact = spark.createDataFrame([(Decimal("1234.5"),), (Decimal("1.5"),), (None,)], "revenue_per_kwh decimal(18,3)")
     assert quality.overflow_counts(fact, schemas.FACT_SESSION_MATCHED).first().revenue_per_kwh == 1

@@ -30,13 +30,5 @@ def test_matches_sql_without_broadcasts(spark, db, name, no_broadcast):
 
 def test_contract(spark):
     assert contract.entry(spark).count() > 0
-    assert set(QUERIES) <= set(contract.queries())
-    assert set(QUERIES) - set(contract.oracle_sql()) == {"session_sample"}
+    assert set(QUERIES) <= set(contract.oracle_sql())
     assert set(contract.oracle_sql()) <= set(contract.queries())
-
-
-def test_sample_is_a_subset(spark):
-    rows = contract.queries()["session_sample"](spark, SF_DIR)
-    assert rows.count() == 5
-    known = contract.queries()["orphan_sessions"](spark, SF_DIR).columns
-    assert sorted(rows.columns) == sorted(known)
