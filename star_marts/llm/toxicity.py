@@ -37,7 +37,7 @@ SAMPLE_BYTES = 16_000
 THRESHOLD = 0.7
 WINDOW, STRIDE = 48, 32
 PIECE = 24
-WORDS, GRAMS = 1 << 14, 1 << 14  # hash buckets
+WORDS, GRAMS = 1 << 14, 1 << 14  # hash buckets, numbered by 16 bits
 _GRAM_SIZES = (3, 4, 5)
 _EMBEDDED = 6  # learned numbers per word, and per n-gram
 HIDDEN = 10
@@ -63,8 +63,13 @@ def _letters(words: list[bytes]) -> np.ndarray:
     return joined.view(np.uint8).reshape(len(words), PIECE + 2).astype(np.uint64)
 
 
-def hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def hashes(words: list[bytes], at_once: int = 8192) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each word, and buckets of its character n-grams (GRAMS where there is none)."""
+    parts = [_hashes(words[i : i + at_once]) for i in range(0, len(words), at_once)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     letters = _letters(words)
     mix = np.uint64(0x9E3779B97F4A7C15)
     powers = mix ** np.arange(1, letters.shape[1] + 1, dtype=np.uint64)
@@ -74,14 +79,17 @@ def hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         spans = np.lib.stride_tricks.sliding_window_view(letters, n, axis=1)
         bucket = (((spans * powers[:n]).sum(axis=2) + np.uint64(n)) * mix) >> np.uint64(64 - 14)
         grams.append(np.where(spans[:, :, -1] > 0, bucket, np.uint64(GRAMS)))
-    return word.astype(np.intp), np.concatenate(grams, axis=1).astype(np.intp)
+    return word.astype(np.int16), np.concatenate(grams, axis=1).astype(np.int16)
 
 
 def _log_odds(documents: list[np.ndarray], toxic: np.ndarray, buckets: int) -> np.ndarray:
-    """How much likelier a bucket is in toxic documents; buckets of few documents count less."""
+    """How much likelier a bucket is in toxic documents; buckets of few documents count less.
+
+    `documents` are the distinct buckets of each.
+    """
     seen = np.zeros((2, buckets + 1))
     for found, label in zip(documents, toxic, strict=True):
-        seen[int(label), np.unique(found)] += 1
+        seen[int(label), found] += 1
     share = (seen + 0.5) / (np.array([[(toxic == 0).sum()], [(toxic == 1).sum()]]) + 1)
     odds = np.log(share[1] / share[0]) * np.minimum(1, seen.sum(axis=0) / 6)
     odds[-1] = 0
@@ -89,7 +97,10 @@ def _log_odds(documents: list[np.ndarray], toxic: np.ndarray, buckets: int) -> n
 
 
 def _document_counts(documents: list[np.ndarray], buckets: int) -> np.ndarray:
-    return np.bincount(np.concatenate([np.unique(d) for d in documents]), minlength=buckets + 1)
+    seen = np.zeros(buckets + 1, np.int64)
+    for found in documents:
+        seen[found] += 1
+    return seen
 
 
 @dataclass
@@ -268,17 +279,19 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 1) -> Network:
     for label in (0, 1):
         own = np.flatnonzero(toxic == label)
         fold[own] = np.arange(len(own)) % FOLDS
+    by_word = [np.unique(word[d]) for d in documents]
+    by_gram = [np.unique(grams[d]) for d in documents]
     odds = []
     for f in range(FOLDS + 1):
         counted = np.flatnonzero(fold != f)
         odds.append((
-            _log_odds([word[documents[i]] for i in counted], toxic[counted], WORDS),
-            _log_odds([grams[documents[i]].ravel() for i in counted], toxic[counted], GRAMS),
+            _log_odds([by_word[i] for i in counted], toxic[counted], WORDS),
+            _log_odds([by_gram[i] for i in counted], toxic[counted], GRAMS),
         ))
     net = _new_network(rng, *odds[FOLDS])
     common = {
-        "word": _document_counts([word[d] for d in documents], WORDS)[:WORDS] >= LEAST_DOCUMENTS,
-        "gram": _document_counts([grams[d].ravel() for d in documents], GRAMS) >= LEAST_DOCUMENTS,
+        "word": _document_counts(by_word, WORDS)[:WORDS] >= LEAST_DOCUMENTS,
+        "gram": _document_counts(by_gram, GRAMS) >= LEAST_DOCUMENTS,
     }
     w = net.weights
     first = {k: np.zeros_like(v) for k, v in w.items()}
