@@ -198,6 +198,7 @@ _DEMAND = f"""
         {half_up("evs_cum", "opened_cum", 2)} AS ev_per_station, population, median_income
     FROM demand"""
 
+# Bounds and labels of the tiers.
 _TIER = """CASE WHEN rate < 20 THEN '0-20% (low)' WHEN rate < 40 THEN '20-40%'
     WHEN rate < 60 THEN '40-60% (healthy)' WHEN rate < 80 THEN '60-80% (high)'
     ELSE '80%+ (saturated)' END"""

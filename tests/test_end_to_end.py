@@ -80,8 +80,12 @@ def test_from_csv_to_reports(spark, sources, layers):
         "fact_station_daily_snapshot": 2, "registrations_clean": 5, "dim_station_bridged": 3,
         "dim_location_zip_city": 2, "dim_ev_market": 2, "fact_session_bridged": 4,
     }
-    keys = sorted(r.session_key for r in layers.read("marts.fact_session_matched").collect())
-    assert keys == [1, 2, 3]
+    keys = {r.session_key for r in layers.read("marts.fact_session_matched").collect()}
+    assert len(keys) == 3 and None not in keys
+    for name, schema in schemas.MARTS.items():
+        layer = "staging" if name == "registrations_clean" else "marts"
+        stored = layers.read(f"{layer}.{name}").schema
+        assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in schema], name
     assert layers.read("staging.registrations_clean").count() == 5
 
     top = reports.revenue_by_network(marts.fact_session_matched, marts.dim_station_matched).collect()
