@@ -264,8 +264,9 @@ def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return found.unionByName(dense)
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """Per document: doc_id, fingerprint (16 hex digits), component_id, and digest of its text."""
+def _rooted(docs: DataFrame, width: int, distance: int) -> DataFrame:
+    """Per document: doc_id, fp, component_id, digest of its text, and root, the least fingerprint
+    of its component.  Components may share a component_id, never a root."""
     rows = stage(fingerprints(docs, width), "fingerprints")
     classes = stage(
         rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "classes"
@@ -275,8 +276,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, distance: int = DISTA
         "fp", "copies", "first", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stage(rooted.join(least, "root").select("fp", "copies", "component_id"), "components")
-    return spread_join(rows, named, ["fp"], "copies", ["doc_id", "digest"]).select(
+    named = stage(rooted.join(least, "root").select("fp", "copies", "root", "component_id"), "components")
+    return spread_join(rows, named, ["fp"], "copies", ["doc_id", "digest"])
+
+
+def near_duplicates(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Per document: doc_id, fingerprint (16 hex digits), component_id, and digest of its text."""
+    return _rooted(docs, width, distance).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "digest"
     )
 
@@ -284,17 +290,18 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, distance: int = DISTA
 def one_of_each(docs: DataFrame, width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """`docs` with one row of each component: that of the smallest doc_id, with the smallest text
     digest if several rows have it."""
-    known = near_duplicates(docs, width, distance)
+    known = _rooted(docs, width, distance)
     holders = known.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # A component is named by its smallest doc_id; rows that share that doc_id may be in others.
+    # Components are told apart by their root: a repeated or missing doc_id can name several.
     kept = stage(
-        holders.groupBy("doc_id", "fingerprint").agg(F.min("digest").alias("digest"), F.count("*").alias("n"))
-        .groupBy(F.col("doc_id").alias("_id")).agg(F.min("digest").alias("_digest"), F.sum("n").alias("_n")),
+        holders.groupBy("root").agg(
+            F.min("component_id").alias("_id"), F.min("digest").alias("_digest"), F.count("*").alias("_n")
+        ),
         "kept",
     )
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["_id"])
-    same = same & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept["_digest"])
-    out = docs.join(kept, same, "left_semi")
+    same = F.col("row.doc_id").cast("long").eqNullSafe(kept["_id"])
+    same = same & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == kept["_digest"])
+    out = docs.select(F.struct("*").alias("row")).join(kept, same)
     if not kept.filter("_n > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    return out
+        out = out.dropDuplicates(["_id", "_digest"])
+    return out.select("row.*")

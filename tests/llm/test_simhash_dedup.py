@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from brute_force import by_definition, groups_of
+from pyspark.sql import functions as F
 
 from star_marts.llm import simhash_dedup as m
 from star_marts.llm.components import components
@@ -38,6 +39,21 @@ def test_documents(spark):
     assert m.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_whatever_its_name(spark):
+    unlike = [" ".join(f"{w}{i}" for i in range(30)) for w in "abcdefgh"]
+    assert len({id(s) for s in groups_of(map(by_definition, unlike)).values()}) == len(unlike)
+    rows = [(None, t, i) for i, t in enumerate(unlike[:4])] + [(None, unlike[0], 9)]
+    # Doc 10 names two components, one of which has a row more, and one of them twice.
+    rows += [(10, unlike[4], 0), (10, unlike[5], 1), (12, unlike[5], 2), (10, unlike[6], 3), (10, unlike[6], 4)]
+    rows += [(13, None, 0), (13, "", 1), (14, unlike[4], 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").withColumn("root", F.lit(0))
+    kept = m.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(str((r.doc_id, r.text or "")) for r in kept.collect())
+    want = [(None, t) for t in unlike[:4]] + [(10, t) for t in unlike[4:7]] + [(13, "")]
+    assert got == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("crowded,refined", [(200, 20_000), (3, 20_000), (3, 10)])
 def test_links_connect_all_within_the_distance(spark, monkeypatch, crowded, refined):
     monkeypatch.setattr(m, "CROWDED", crowded)
