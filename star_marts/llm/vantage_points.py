@@ -8,6 +8,10 @@ is exact; smaller factors pass over sides that are unlikely to hold a better row
 Inner products become distances by one more component: with M the largest norm of the shard, x
 gets sqrt(M² - |x|²) and a query 0, so that the nearest row has the largest inner product.
 
+Equal vectors are one row of the tree, which holds all their ids, so that copies are found together
+and have one score.  Ties go to the smaller vec_id, in a shard as between shards: where a leaf's
+products are too near the k-th best to tell, they are computed again, each in the same way.
+
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
 part; of repeated vec_ids the least vector stands; rows without vec_id take no part; queries meet
 vectors of their own length only; an empty table gives no rows; other columns are not read.
@@ -29,12 +33,17 @@ _SEED = 11
 
 
 def build(ids: np.ndarray, x: np.ndarray) -> Arrays:
-    """Rows in tree order, and per node: rows, vantage point, radius, children (-1: a leaf)."""
+    """Distinct vectors in tree order with the ids of each, and per node: rows, vantage point,
+    radius, children (-1: a leaf)."""
+    x = x + 0.0  # no negative zeros, so that equal vectors have equal bytes
+    first: dict[bytes, int] = {}
+    group = np.array([first.setdefault(row.tobytes(), len(first)) for row in x])
+    x = x[np.unique(group, return_index=True)[1]]
     norms = np.einsum("ij,ij->i", x, x)
     most = norms.max()
     lifted = np.column_stack([x, np.sqrt(np.maximum(most - norms, 0))])
     rng = np.random.default_rng(_SEED)
-    order = np.arange(len(ids))
+    order = np.arange(len(x))
     spans, vantage, radius, children = [], [], [], []
 
     def grow(start: int, end: int) -> int:
@@ -58,9 +67,11 @@ def build(ids: np.ndarray, x: np.ndarray) -> Arrays:
             children[node] = (grow(start, start + split), grow(start + split, end))
         return node
 
-    grow(0, len(ids))
+    grow(0, len(x))
+    place = np.argsort(order)[group]  # of each id's vector in tree order
     return {
-        "ids": ids[order], "x": x[order], "most": np.array(most), "spans": np.array(spans),
+        "ids": ids[np.lexsort((ids, place))], "ends": np.cumsum(np.bincount(place, minlength=len(x))),
+        "x": x[order], "most": np.array(most), "spans": np.array(spans),
         "vantage": np.array(vantage), "radius": np.array(radius), "children": np.array(children),
     }
 
@@ -69,16 +80,25 @@ def probe(
     block: Arrays, ids: np.ndarray, q: np.ndarray, k: int = K, factor: float = FACTOR
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best rows found in a block for each query; a query's own id is passed over."""
-    rows, row_ids, spans = block["x"], block["ids"], block["spans"]
+    rows, row_ids, ends, spans = block["x"], block["ids"], block["ends"], block["spans"]
     vantage, radius, children = block["vantage"], block["radius"], block["children"]
+    starts = np.append(0, ends[:-1])
+    least, single = row_ids[starts], ends - starts == 1
     lengths = np.einsum("ij,ij->i", q, q) + float(block["most"])
     dims = q.shape[1]
+    # What rounding can change in a product, and in a distance that is its root.
+    blur = 8 * (dims + 1) * np.finfo(float).eps * lengths
+    root = 2 * np.sqrt(blur)
     best = np.full((len(q), k), -np.inf)
     places = np.full((len(q), k), -1)
 
     def distance(product: np.ndarray, some: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(lengths[some] - 2 * product, 0))
 
+    def least_other(at: np.ndarray, own: int) -> np.ndarray:
+        """The smallest id of each vector that is not the query's own."""
+        return np.where(least[at] == own, row_ids[np.minimum(starts[at] + 1, len(row_ids) - 1)], least[at])
+
     def visit(node: int, some: np.ndarray) -> None:
         if not len(some):
             return
@@ -86,7 +106,8 @@ def probe(
         if left < 0:
             start, end = spans[node]
             products = q[some] @ rows[start:end].T
-            products[row_ids[start:end][None] == ids[some][:, None]] = -np.inf
+            own = (least[start:end][None] == ids[some][:, None]) & single[start:end]
+            products[own] = -np.inf
             all_products = np.concatenate([best[some], products], axis=1)
             all_places = np.concatenate(
                 [places[some], np.broadcast_to(np.arange(start, end), products.shape)], axis=1
@@ -94,6 +115,13 @@ def probe(
             keep = np.argpartition(-all_products, k - 1, axis=1)[:, :k]
             best[some] = np.take_along_axis(all_products, keep, axis=1)
             places[some] = np.take_along_axis(all_places, keep, axis=1)
+            kth = best[some].min(axis=1)
+            near = all_products >= (kth - blur[some])[:, None]
+            for i in np.flatnonzero(np.isfinite(kth) & (near.sum(axis=1) > k)):
+                at, query = all_places[i][near[i]], some[i]
+                scores = (rows[at] * q[query]).sum(axis=1)
+                chosen = best_of(scores, least_other(at, ids[query]), k)
+                best[query], places[query] = scores[chosen], at[chosen]
             return
         away = distance(q[some] @ vantage[node][:dims], some)
         inside = away < radius[node]
@@ -101,7 +129,7 @@ def probe(
         visit(right, some[~inside])
         # The k-th best is known better now.  The margin is for rounding, so that one stays exact.
         kth = distance(best[some].min(axis=1), some)
-        open_ = np.abs(away - radius[node]) <= factor * kth * (1 + 1e-9) + 1e-9
+        open_ = np.abs(away - radius[node]) <= factor * kth + root[some]
         visit(right, some[inside & open_])
         visit(left, some[~inside & open_])
 
@@ -110,8 +138,13 @@ def probe(
     for i in range(len(q)):
         at = places[i][(places[i] >= 0) & np.isfinite(best[i])]
         scores = (rows[at] * q[i]).sum(axis=1)
-        order = best_of(scores, row_ids[at], k)
-        out.append((np.full(len(order), ids[i]), row_ids[at][order], scores[order]))
+        # Of a vector's ids the k smallest; one more, as one may be the query's own.
+        taken = [row_ids[starts[a] : min(ends[a], starts[a] + k + 1)] for a in at]
+        scores = np.repeat(scores, [len(t) for t in taken])
+        found = np.concatenate([*taken, np.zeros(0, row_ids.dtype)])
+        scores, found = scores[found != ids[i]], found[found != ids[i]]
+        order = best_of(scores, found, k)
+        out.append((np.full(len(order), ids[i]), found[order], scores[order]))
     return tuple(np.concatenate([o[c] for o in out]) for c in range(3))
 
 

@@ -79,6 +79,38 @@ def test_factor_one_is_exact(spark, monkeypatch):
         assert a[2] == b[2] or abs(a[3] - b[3]) < 1e-12
 
 
+def test_ties_go_to_the_smaller_id():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 16))
+    x[rng.permutation(3000)[:900]] = x[0]  # a group of copies, larger than a leaf
+    x[rng.permutation(3000)[:300]] = x[1]
+    ids = rng.permutation(10_000)[:3000]
+    for some in (np.arange(100), np.flatnonzero((x == x[0]).all(axis=1))[:50]):
+        q, found, _ = vantage_points.probe(vantage_points.build(ids, x), ids[some], x[some], factor=1.0)
+        for i in some:
+            scores = (x * x[i]).sum(axis=1)
+            order = np.lexsort((ids, -scores))
+            want = [j for j in ids[order] if j != ids[i]][: vantage_points.K]
+            assert list(found[q == ids[i]]) == want
+    # Vectors that differ, but have equal products with the query.
+    sides = np.column_stack([np.full(3000, 0.5), rng.normal(size=3000)])
+    _, found, _ = vantage_points.probe(
+        vantage_points.build(ids, sides), np.array([-1]), np.array([[1.0, 0.0]]), factor=1.0
+    )
+    assert list(found) == sorted(ids)[: vantage_points.K]
+
+
+def test_copies_are_found_with_the_production_factor():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(8192, 64))
+    x[2000:4000] = x[2000]
+    ids = rng.permutation(8192)
+    q, found, _ = vantage_points.probe(vantage_points.build(ids, x), ids[2000:2050], x[2000:2050])
+    copies = np.sort(ids[2000:4000])
+    for i in ids[2000:2050]:
+        assert list(found[q == i]) == [j for j in copies if j != i][: vantage_points.K]
+
+
 def test_recall_with_production_parameters():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(8192, 64)) + 0.7 * rng.normal(size=(10, 64))[rng.integers(0, 10, 8192)]
