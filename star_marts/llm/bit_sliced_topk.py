@@ -8,14 +8,20 @@ is added, which shifts all scores of the block alike.  Bitmaps of the least weig
 of the sum; what they can add at most is known.  The k-th score is read from the most significant
 slice downward, every row that may still reach it is kept, and these rows are resolved exactly.
 
-Defined cases: vectors that are null, empty, or hold null or non-finite components take no part,
-nor do those with a component of 131,072 or more either way, whose products would not fit a
-long; of repeated vec_ids the least vector stands; rows without vec_id take no part; queries meet
-vectors of their own length only; an empty table gives no rows; other columns are not read.
+Vectors with a component of 131,072 or more either way stay out of the bitmaps, which they would
+make many: they are candidates of every query, and as queries they meet every row.  Scores are
+computed as longs where no sum can exceed one, else as integers of any size.
+
+Defined cases: vectors that are null, empty, or hold null or non-finite components take no part;
+a score among the k best that exceeds a long is an error; of repeated vec_ids the least vector
+stands; rows without vec_id take no part; queries meet vectors of their own length only; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,14 +30,39 @@ from star_marts.llm.vector_blocks import Arrays, best_of, distinct_vectors, sear
 
 K = 5
 SCALE = 256  # fixed value of the quantisation
-LARGEST = 1 << 25  # of a quantised component
+LARGEST = 1 << 25  # of a quantised component in the bitmaps
 QUERY_EVERY = 50
+TOO_LARGE = "a score exceeds a long"
 _LEFT_OUT = 6  # weights 2^0 .. 2^5 are not summed
 
 
+def quantised(x: np.ndarray) -> np.ndarray:
+    """floor(256 x) as longs, or as integers of any size if one does not fit."""
+    if not x.size or np.abs(x).max() < 2.0**62 / SCALE:
+        return np.floor(x * SCALE).astype(np.int64)
+    # From 2^53 on doubles are whole, and 256 times the largest is no double.
+    whole = np.frompyfunc(lambda v: int(v) * SCALE if abs(v) >= 2.0**53 else math.floor(v * SCALE), 1, 1)
+    return whole(x).astype(object)
+
+
+def products(values: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Scores of rows, exactly."""
+    if not values.size:
+        return np.zeros(len(values), np.int64)
+    if len(vector) * int(np.abs(values).max()) * int(np.abs(vector).max()) < 1 << 63:
+        return values.astype(np.int64) @ vector.astype(np.int64)
+    return values.astype(object) @ vector.astype(object)
+
+
 def build(ids: np.ndarray, x: np.ndarray) -> Arrays:
-    """Slices [attribute and its complement, bit, word] of the attributes above their least value."""
-    values = x.astype(np.int64)
+    """Slices [attribute and its complement, bit, word] of the attributes above their least value,
+    and apart from them the rows that are too large, as they are."""
+    small = (np.abs(x) < LARGEST // SCALE).all(axis=1)
+    large_ids, large = ids[~small], x[~small]
+    ids, values = ids[small], quantised(x[small])
+    if not len(ids):
+        return {"ids": ids, "values": values, "slices": np.empty((2, x.shape[1], 1, 0), np.uint64),
+                "large_ids": large_ids, "large": large}
     low = values.min(axis=0)
     above = values - low
     bits = max(1, int(above.max()).bit_length())
@@ -43,7 +74,7 @@ def build(ids: np.ndarray, x: np.ndarray) -> Arrays:
         set_rows = np.ascontiguousarray((padded.T >> b & 1).astype(np.uint8))
         slices[0, :, b] = np.packbits(set_rows, axis=1, bitorder="little").view(np.uint64)
     slices[1] = ~slices[0]
-    return {"ids": ids, "values": values, "slices": slices}
+    return {"ids": ids, "values": values, "slices": slices, "large_ids": large_ids, "large": large}
 
 
 def add_columns(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -98,46 +129,76 @@ def candidates(slices: list[np.ndarray], rows: np.ndarray, k: int, slack: int) -
     return above | equal
 
 
-def probe(block: Arrays, ids: np.ndarray, x: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best rows of a block for each query, exactly; a query's own id is passed over."""
-    values, slices, block_ids = block["values"], block["slices"], block["ids"]
-    count, dims = values.shape
+def _reaching(block: Arrays, rows: np.ndarray, vector: np.ndarray, k: int) -> np.ndarray:
+    """Places of the rows in the bitmaps that may be among the k + 1 best for a query."""
+    slices, count = block["slices"], len(block["ids"])
     bits, words = slices.shape[2], slices.shape[3]
+    size, side = np.abs(vector), (vector < 0).astype(np.intp)
+    set_bits = max(1, int(size.max()).bit_length())
+    columns, slack = [], 0
+    chosen = [np.flatnonzero(size >> b & 1) for b in range(set_bits)]
+    for w in range(bits + set_bits - 1):
+        parts = [(b, w - b) for b in range(set_bits) if 0 <= w - b < bits]
+        if w < _LEFT_OUT:
+            slack += sum(len(chosen[b]) for b, _ in parts) << w
+            continue
+        maps = [slices[side[chosen[b]], chosen[b], s] for b, s in parts]
+        columns.append(np.concatenate(maps) if maps else np.empty((0, words), np.uint64))
+    empty = np.zeros(words, np.uint64)
+    sums = [empty if s is None else s for s in add_columns(columns)]
+    # Sums count in units of 2^_LEFT_OUT; one row more is asked for, as one may be the query's own.
+    kept = candidates(sums, rows, min(k + 1, count), -(-slack >> _LEFT_OUT) + 1)
+    return np.flatnonzero(np.unpackbits(kept.view(np.uint8), bitorder="little"))
+
+
+def probe(block: Arrays, ids: np.ndarray, x: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best rows of a block for each query, exactly; a query's own id is passed over.
+
+    Of a score below all longs the id is masked: whether it is among the k best of all blocks is
+    not known here.  One above all longs is, or others above all longs are.
+    """
+    values, block_ids, large_ids = block["values"], block["ids"], block["large_ids"]
+    count, words = len(block_ids), block["slices"].shape[3]
     rows = np.packbits(np.arange(words * 64) < count, bitorder="little").view(np.uint64)
+    large = quantised(block["large"])
     out: list[tuple[int, np.ndarray, np.ndarray]] = []
-    for q, vector in zip(ids, x.astype(np.int64), strict=True):
-        size, side = np.abs(vector), (vector < 0).astype(np.intp)
-        set_bits = max(1, int(size.max()).bit_length())
-        columns, slack = [], 0
-        chosen = [np.flatnonzero(size >> b & 1) for b in range(set_bits)]
-        for w in range(bits + set_bits - 1):
-            parts = [(b, w - b) for b in range(set_bits) if 0 <= w - b < bits]
-            if w < _LEFT_OUT:
-                slack += sum(len(chosen[b]) for b, _ in parts) << w
-                continue
-            maps = [slices[side[chosen[b]], chosen[b], s] for b, s in parts]
-            columns.append(np.concatenate(maps) if maps else np.empty((0, words), np.uint64))
-        empty = np.zeros(words, np.uint64)
-        sums = [empty if s is None else s for s in add_columns(columns)]
-        # Sums count in units of 2^_LEFT_OUT; one row more is asked for, as one may be the query's own.
-        kept = candidates(sums, rows, min(k + 1, count), -(-slack >> _LEFT_OUT) + 1)
-        at = np.flatnonzero(np.unpackbits(kept.view(np.uint8), bitorder="little"))
-        at = at[block_ids[at] != q]
-        scores = values[at] @ vector
-        best = best_of(scores, block_ids[at], k)
-        out.append((int(q), block_ids[at][best], scores[best]))
+    for i, q in enumerate(ids):
+        vector = quantised(x[i])
+        if count and np.abs(x[i]).max() < LARGEST // SCALE:
+            at = _reaching(block, rows, vector, k)
+        else:
+            at = np.arange(count)
+        near, scores = block_ids[at], products(values[at], vector)
+        if len(large_ids):
+            near = np.concatenate([near, large_ids])
+            scores = np.concatenate([scores, products(large, vector)])
+        near, scores = near[near != q], scores[near != q]
+        best = _best(scores, near, k)
+        out.append((int(q), near[best], scores[best]))
+    scores = np.concatenate([s for _, _, s in out])
+    below = np.zeros(len(scores), bool)
+    if scores.dtype == object:
+        if (scores >= 1 << 63).any():
+            raise OverflowError(TOO_LARGE)
+        below = (scores < -(1 << 63)).astype(bool)
+        scores[below] = -(1 << 63)
+        scores = scores.astype(np.int64)
+    found = np.concatenate([i for _, i, _ in out])
     return (
         np.concatenate([np.full(len(i), q, np.int64) for q, i, _ in out]),
-        np.concatenate([i for _, i, _ in out]), np.concatenate([s for _, _, s in out]),
+        np.ma.masked_array(found, below) if below.any() else found, scores,
     )
 
 
-def quantised(rows: DataFrame) -> DataFrame:
-    """vec_id and the vector of floor(256 x), as doubles that are whole numbers."""
-    vectors = distinct_vectors(rows).filter(F.size("vector") > 0)
-    whole = F.transform("vector", lambda x: F.floor(x * SCALE).cast("double"))
-    fits = F.forall("vector", lambda x: F.abs(x) < LARGEST // SCALE)
-    return vectors.filter(fits).select("vec_id", whole.alias("vector"))
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """`best_of`, for integers of any size too."""
+    if scores.dtype != object:
+        return best_of(scores, ids, k)
+    return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.intp)
+
+
+def usable(rows: DataFrame) -> DataFrame:
+    return distinct_vectors(rows).filter(F.size("vector") > 0)
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -146,7 +207,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     def best(block: Arrays, ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return probe(block, ids, x, k)
 
-    return search(quantised(rows), quantised(queries), k, build, best, "long")
+    found = search(usable(rows), usable(queries), k, build, best, "long")
+    too_small = F.raise_error(F.lit(TOO_LARGE)).cast("long")
+    return found.withColumn("vec_id", F.coalesce("vec_id", too_small))
 
 
 ORACLE_SQL = """

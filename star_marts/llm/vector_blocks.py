@@ -90,7 +90,8 @@ def search(
 
     Both frames have vec_id and vector, without repeated ids; a query meets vectors of its own
     length, but never the one with its id.  `probe(index, ids, vectors)` gives, for a block,
-    (query id, vec_id, score) with at least the k best per query.  `score` is the type of scores.
+    (query id, vec_id, score) with at least the k best per query; an id may be masked, and comes
+    last of its score.  `score` is the type of scores.
     """
     index = stage(_blocks(vectors, block_rows, build), "index")
     asked = stage(_blocks(queries, QUERY_ROWS, lambda ids, x: {"ids": ids, "x": x}), "queries")
@@ -111,7 +112,7 @@ def search(
 
     vectors.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PAIRS_PER_BATCH))
     found = pairs.mapInArrow(meet, f"query_id long, vec_id long, score {score}")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )

@@ -56,6 +56,29 @@ def test_too_large_components_take_no_part(spark):
     ]
 
 
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(9)
+    rows = table(5, 120, 4, 90.0) + [(1000 + i, [float(v) for v in x]) for i, x in enumerate(rng.normal(0, 3e5, (30, 4)))]
+    rows += [(2000, [1e6, -1.0, 0.5, 0.0]), (2002, [131_072.0] * 4), (2009, [-3e6, 1.0, 3e6, 7.0])]
+    # Beyond a long alone, and in what is left out of the k best.
+    rows += [(3001, [-1e30, 0.0, 0.0, 0.0]), (3002, [0.0, 1e300, 0.0, 0.0])]
+    whole = lambda a, b: sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(a, b, strict=True))
+    known = [r for r in rows if r[0] < 3000]
+    docs = frame(spark, known)
+    got = bit_sliced_topk.top_k(docs, docs.filter("vec_id % 7 = 0"), 5).collect()
+    ids = [i for i, _ in known if i % 7 == 0]
+    assert sorted(tuple(r) for r in got) == expected(known, ids, 5, whole, lambda x: True)
+    down = (3501, [1.0, -1.0, 0.0, 0.0])
+    got = bit_sliced_topk.top_k(frame(spark, [*rows, down]), frame(spark, [down]), 5).collect()
+    assert sorted(tuple(r) for r in got) == expected([*rows, down], [3501], 5, whole, lambda x: True)
+    with pytest.raises(Exception, match="exceeds a long"):
+        up = (3502, [0.0, 1.0, 0.0, 0.0])
+        bit_sliced_topk.top_k(frame(spark, [*rows, up]), frame(spark, [up]), 5).collect()
+    with pytest.raises(Exception, match="exceeds a long"):
+        few = frame(spark, [(3001, [-1e30]), (1, [1.0])])
+        bit_sliced_topk.top_k(few, few, 5).collect()
+
+
 def test_adders():
     rng = np.random.default_rng(2)
     maps = [rng.integers(0, 2**63, (n, 3)).astype(np.uint64) for n in (9, 1, 0, 14)]
