@@ -269,8 +269,7 @@ def build(
 def directory_of(index: DataFrame) -> DataFrame:
     """owner, slot and bucket of every directory slot that leads to a bucket with texts."""
     buckets = index.select("owner", "directory_depth", "bucket", "bucket_depth").distinct()
-    step = F.shiftleft(F.lit(1).cast("long"), F.col("bucket_depth"))
-    last = F.shiftleft(F.lit(1).cast("long"), F.col("directory_depth")) - 1
+    step, last = F.expr("shiftleft(1L, bucket_depth)"), F.expr("shiftleft(1L, directory_depth) - 1")
     return buckets.select("owner", F.explode(F.sequence("bucket", last, step)).alias("slot"), "bucket")
 
 
