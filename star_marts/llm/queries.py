@@ -12,6 +12,7 @@ from star_marts.llm import (
     bit_sliced_topk,
     byte_bpe,
     exact_dedup,
+    hard_negatives,
     secret_scan,
     simhash_dedup,
     source_mixing,
@@ -72,11 +73,16 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_toxicity, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op6_bit_sliced_topk,
         op7_secret_scan, op8_content_addressed_warc, op9_vantage_points, op10_attention_lm, op12_exact_dedup,
+        op13_hard_negatives,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -85,4 +91,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_bit_sliced_topk": bit_sliced_topk.ORACLE_SQL,
     "op8_content_addressed_warc": warc_store.ORACLE_SQL,
     "op12_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
