@@ -16,6 +16,7 @@ from star_marts.llm import (
     secret_scan,
     simhash_dedup,
     source_mixing,
+    spelling_variants,
     substring_dedup,
     toxicity,
     vantage_points,
@@ -69,6 +70,10 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -81,7 +86,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_toxicity, op3_simhash_near_dedup, op4_byte_bpe, op5_source_mixing, op6_bit_sliced_topk,
-        op7_secret_scan, op8_content_addressed_warc, op9_vantage_points, op10_attention_lm, op12_exact_dedup,
+        op7_secret_scan, op8_content_addressed_warc, op9_vantage_points, op10_attention_lm, op11_spelling_variants, op12_exact_dedup,
         op13_hard_negatives,
     )
 }
@@ -90,6 +95,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_source_mixing": source_mixing.ORACLE_SQL,
     "op6_bit_sliced_topk": bit_sliced_topk.ORACLE_SQL,
     "op8_content_addressed_warc": warc_store.ORACLE_SQL,
+    "op11_spelling_variants": spelling_variants.ORACLE_SQL,
     "op12_exact_dedup": exact_dedup.ORACLE_SQL,
     "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
