@@ -318,12 +318,12 @@ def top_stations_lifetime(m: Marts) -> DataFrame:
 
 @on_marts
 def top_stations_revenue(m: Marts) -> DataFrame:
-    return reports.top_stations_revenue(m.fact_session_bridged, m.dim_station_bridged)
+    return reports.top_stations_revenue(m.bridged_sessions, m.dim_station_bridged)
 
 
 @on_marts
 def monthly_revenue(m: Marts) -> DataFrame:
-    return reports.monthly_revenue(m.fact_session_bridged, m.dim_date_bridged)
+    return reports.monthly_revenue(m.bridged_sessions, m.dim_date_bridged)
 
 
 @on_marts

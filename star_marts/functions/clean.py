@@ -46,7 +46,7 @@ def try_date(c: Column | str) -> Column:
     """
     c = F.trim(_col(c))
     two_dashes = F.substring_index(c, "-", 2) != c
-    return F.coalesce(F.when(two_dashes, c.try_cast("date")), try_us_date(c), try_named_month(c))
+    return F.when(two_dashes, F.coalesce(c.try_cast("date"), try_named_month(c))).otherwise(try_us_date(c))
 
 
 def try_us_date(c: Column | str) -> Column:
@@ -84,17 +84,20 @@ def date_key(c: Column | str) -> Column:
     return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
-def half_up_ratio(numerator: Column, denominator: Column, scale: int, precision: int = 38) -> Column:
+def half_up_ratio(
+    numerator: Column, denominator: Column, scale: int, precision: int = 38, operands: str | None = None,
+) -> Column:
     """Decimal quotient rounded half up; NULL where the denominator is zero or NULL.
 
-    The type of a quotient of 38 digits leaves it six decimals.  Both sides are therefore taken at
-    18 digits, six of them decimals, where they fit, which leaves it twenty.
+    The types of the operands set how many decimals the quotient is computed with, so that there
+    is one division whatever the values: two decimal(10,2) give 13, two decimal(18,0) 19.  Wider
+    operands leave too few and name a type to be divided as: decimal(26,8) leaves 12.  A value
+    beyond that type has no ratio; `quality.overflow_counts` counts those.
     """
-    near, beside = (c.try_cast("decimal(18,6)") for c in (numerator, denominator))
-    return F.coalesce(
-        F.round(near / F.nullif(beside, F.lit(0)), scale),
-        F.round(numerator / F.nullif(denominator, F.lit(0)), scale),
-    ).cast(f"decimal({precision},{scale})")
+    if operands is not None:
+        numerator, denominator = numerator.try_cast(operands), denominator.try_cast(operands)
+    # The cast rounds half up.
+    return (numerator / F.nullif(denominator, F.lit(0))).cast(f"decimal({precision},{scale})")
 
 
 def money_text(c: Column | str) -> Column:

@@ -22,9 +22,11 @@ from star_marts.operators import (
     lookup_star,
     modulo_bridge_key,
 )
+from star_marts.operators.once import computed_once
 from star_marts.session import stage
 
 _MINUTES_PER_DAY = 24 * 60
+_WIDE = "decimal(26,8)"  # what measures of 38 digits, and sums, are divided as
 
 
 def registrations_by_county_year(
@@ -104,16 +106,16 @@ def fact_session_matched(
     """
     kwh = try_number("kwh_delivered", 38, 3 if scale is None else scale).cast("decimal(38,3)")
     revenue = try_number("revenue_usd", 38, 2 if scale is None else scale).cast("decimal(38,2)")
-    dated = sessions.select(
-        "session_id",
-        "station_id",
-        kwh.alias("kwh_delivered"),
-        try_whole("duration_minutes").alias("duration_minutes"),
-        revenue.alias("revenue_usd"),
-        try_date("session_date").alias("session_date"),
-    ).filter(F.col("session_date").isNotNull())
+    text = sessions.select("session_id", "station_id", "session_date", "kwh_delivered", "duration_minutes", "revenue_usd")
+    dated = computed_once(text, "_day", try_date("session_date")).filter(F.col("_day").isNotNull())
     keys = stations.select("station_id", "station_key", "location_key")
-    matched = lookup_join(dated, keys, "station_id", "inner")
+    # Text travels through the join: a number of 38 digits is wider, and dear to parse for nothing.
+    found = lookup_join(dated, keys, "station_id", "inner")
+    numbers = F.struct(kwh.alias("kwh_delivered"), revenue.alias("revenue_usd"))
+    matched = computed_once(found, "_n", numbers).select(
+        "session_id", "station_key", "location_key", "_n.*", F.col("_day").alias("session_date"),
+        try_whole("duration_minutes").alias("duration_minutes"),
+    )
     return matched.select(
         "session_id",
         "station_key",
@@ -124,7 +126,7 @@ def fact_session_matched(
         "revenue_usd",
         F.when(
             F.col("kwh_delivered") > 0,
-            half_up_ratio(F.col("revenue_usd"), F.col("kwh_delivered"), 3),
+            half_up_ratio(F.col("revenue_usd"), F.col("kwh_delivered"), 3, operands=_WIDE),
         ).alias("revenue_per_kwh"),
         "session_date",
     )
@@ -144,14 +146,26 @@ def orphan_sessions(sessions: DataFrame, stations: DataFrame) -> DataFrame:
     return lookup_join(sessions, stations.select("station_id"), "station_id", "left_anti")
 
 
+def bridge_sessions(sessions: DataFrame, stations: DataFrame, dates: DataFrame) -> DataFrame:
+    """Typed sessions with the station key that they wrap around to and their date key.
+
+    The station keys are dense, so a wrapped key has a station unless it is below one; those
+    sessions are dropped.  What reports by station or month need, without any other lookup.
+    """
+    bridged = sessions.withColumn("station_key", modulo_bridge_key(F.col("station_id"), stations))
+    days = dates.select(F.col("full_date").alias("session_date"), "date_key")
+    return bridged.filter(F.col("station_key") >= 1).join(days, "session_date", "left").select(
+        "session_id", "station_key", "date_key", "kwh_delivered", "duration_minutes", "revenue_usd"
+    )
+
+
 def fact_session_bridged(
-    sessions: DataFrame, stations: DataFrame, locations: DataFrame, markets: DataFrame,
-    dates: DataFrame,
+    bridged: DataFrame, stations: DataFrame, locations: DataFrame, markets: DataFrame,
 ) -> DataFrame:
-    """Typed sessions wrapped around the dense station keys, with date, location and market.
+    """Bridged sessions with location, market and rates.
 
     Location and market follow from the station, so they are looked up once per station;
-    each session then meets one station row and the calendar.
+    each session then meets one station row.
     """
     placed = stage(
         lookup_star(
@@ -160,13 +174,8 @@ def fact_session_bridged(
         ).select("station_key", "location_key", "market_key"),
         "placed",
     )
-    bridged = sessions.withColumn(
-        "station_key", modulo_bridge_key(F.col("station_id"), stations)
-    ).drop("station_id")
-    mapped = lookup_join(bridged, placed, "station_key", "inner")
-    days = dates.select(F.col("full_date").alias("session_date"), "date_key")
-    minutes = F.col("duration_minutes").cast("decimal(19,0)")
-    return mapped.join(days, "session_date", "left").select(
+    minutes = F.col("duration_minutes").cast("decimal(10,0)")
+    return lookup_join(bridged, placed, "station_key", "left").select(
         "session_id",
         "station_key",
         "date_key",
@@ -197,7 +206,7 @@ def fact_station_daily_snapshot(sessions: DataFrame, stations: DataFrame) -> Dat
     )
     ports = stations.select("station_key", "total_port_count")
     minutes = F.col("_minutes").cast("decimal(19,0)")
-    capacity = F.col("total_port_count").cast("decimal(19,0)") * _MINUTES_PER_DAY
+    capacity = (F.col("total_port_count") * _MINUTES_PER_DAY).cast("decimal(18,0)")
     return days.join(ports, "station_key").select(
         "station_key",
         "date_key",
@@ -206,7 +215,7 @@ def fact_station_daily_snapshot(sessions: DataFrame, stations: DataFrame) -> Dat
         "total_kwh",
         "total_revenue",
         half_up_ratio(minutes, F.col("_timed").cast("decimal(18,0)"), 2).alias("avg_session_duration"),
-        half_up_ratio(F.col("total_revenue"), F.col("_paid").cast("decimal(18,0)"), 2).alias(
+        half_up_ratio(F.col("total_revenue"), F.col("_paid"), 2, operands=_WIDE).alias(
             "avg_revenue_per_session"
         ),
         F.when(

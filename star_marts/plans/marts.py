@@ -171,10 +171,17 @@ class Marts:
     def dim_ev_market(self) -> DataFrame:
         return self._keep("dim_ev_market", dimensions.dim_ev_market(self.registrations_clean))
 
+    @property
+    def bridged_sessions(self) -> DataFrame:
+        """Keys and measures of the bridged fact, as a plan, without its lookups."""
+        return facts.bridge_sessions(
+            self.raw.typed_sessions, self.dim_station_bridged, self.dim_date_bridged
+        )
+
     @cached_property
     def fact_session_bridged(self) -> DataFrame:
         df = facts.fact_session_bridged(
-            self.raw.typed_sessions, self.dim_station_bridged, self.dim_location_zip_city,
-            self.dim_ev_market, self.dim_date_bridged,
+            self.bridged_sessions, self.dim_station_bridged, self.dim_location_zip_city,
+            self.dim_ev_market,
         )
         return self._fact("fact_session_bridged", df)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 
 from star_marts import schemas
-from star_marts.sources import Layers, apply_types, read_by_header, read_positional
+from star_marts.sources import Layers, land, read_by_header
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,10 @@ class CsvSources:
 def read_csv_sources(
     spark: SparkSession, sources: CsvSources, multiline: bool = False
 ) -> tuple[RawLayer, dict[str, DataFrame]]:
-    """The raw layer of a set of CSV files, and per table the rows that were skipped."""
+    """The raw layer of a set of CSV files, and per table the rows that were skipped.
+
+    Files read by position are parsed here, once each; what comes back are reads of what that left.
+    """
     by_position = {
         "stations": schemas.RAW_STATIONS,
         "registrations": schemas.RAW_REGISTRATIONS,
@@ -48,11 +51,13 @@ def read_csv_sources(
         "sessions": schemas.RAW_SESSIONS,
     }
     landed = {
-        name: read_positional(spark, getattr(sources, name), schema, multiline=multiline)
+        name: land(
+            spark, getattr(sources, name), schema, multiline=multiline,
+            typed=schemas.TYPED_SESSIONS if name == "sessions" else None,
+        )
         for name, schema in by_position.items()
     }
-    typed = apply_types(landed["sessions"].good, schemas.TYPED_SESSIONS)
-    good = {name: pair.good for name, pair in landed.items()}
+    good = {name: landing.text for name, landing in landed.items()}
     raw = RawLayer(
         **good,
         station_feed=read_by_header(
@@ -61,10 +66,10 @@ def read_csv_sources(
         registrations_positional=good["registrations"].toDF(
             *schemas.RAW_REGISTRATIONS_POSITIONAL.fieldNames()
         ),
-        typed_sessions=typed.good,
+        typed_sessions=landed["sessions"].typed,
     )
-    rejected = {name: pair.rejected for name, pair in landed.items()}
-    return raw, {**rejected, "typed_sessions": typed.rejected}
+    rejected = {name: landing.malformed for name, landing in landed.items()}
+    return raw, {**rejected, "typed_sessions": landed["sessions"].mistyped}
 
 
 def store_raw(raw: RawLayer, layers: Layers) -> RawLayer:

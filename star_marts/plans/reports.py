@@ -18,7 +18,7 @@ from star_marts.operators import top_k
 
 
 def _mean(total: str, count: str, scale: int) -> Column:
-    return half_up_ratio(F.sum(total), F.sum(count).cast("decimal(18,0)"), scale)
+    return half_up_ratio(F.sum(total), F.sum(count), scale, operands="decimal(26,8)")
 
 
 # --- demand by county -------------------------------------------------------------------

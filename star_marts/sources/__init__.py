@@ -2,7 +2,9 @@
 
 from star_marts.sources.landing import (
     Landed,
+    Landing,
     apply_types,
+    land,
     read_by_header,
     read_positional,
     read_typed,
@@ -10,5 +12,5 @@ from star_marts.sources.landing import (
 from star_marts.sources.layers import Layers
 
 __all__ = [
-    "Landed", "Layers", "apply_types", "read_by_header", "read_positional", "read_typed",
+    "Landed", "Landing", "Layers", "apply_types", "land", "read_by_header", "read_positional", "read_typed",
 ]

@@ -1,33 +1,42 @@
 """CSV landing with quarantine.
 
 Every field is read as text and cast afterwards by expressions, so that one bad value costs
-one row and can be shown.  Rows the parser itself rejects are kept in the corrupt-record column.
-Column pruning is off for the parser: it would otherwise judge a row by the columns a query
-needs, and a count and a listing would not agree.
+one row and can be shown.  A file is parsed once: rows that load, rows with a value that does not
+cast and rows that the parser rejects are written in one pass, a folder per verdict, with the cast
+values beside the text, and every table is a read of one or two of these folders.
 
-Land CSV once and work on the columnar copy: a file with `multiline` is read by one task.
+Column pruning is off for the parser: it would otherwise judge a row by the columns a query needs.
+Files with line breaks inside quotes are cut into records first, by many tasks (`records`).
 """
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from star_marts.fixed_values import NULL_TOKENS
 from star_marts.functions import try_date, try_whole
+from star_marts.operators.once import computed_once
 from star_marts.schemas import strings
+from star_marts.session import scratch_path
+from star_marts.sources.records import csv_records
 
 _CORRUPT = "_corrupt_record"
 # Stands for a field with nothing in it; with the default, "" in quotes would be NULL too.
 _NO_FIELD = "\x00"
 
+VERDICT = "landing_verdict"
+LOADED, MISTYPED, MALFORMED = "loaded", "mistyped", "malformed"
+
 
 @dataclass(frozen=True)
 class Landed:
@@ -37,19 +46,72 @@ class Landed:
     rejected: DataFrame
 
 
-def _reader(spark: SparkSession, multiline: bool, trim: bool, header: bool):
-    return spark.read.options(
-        header=header,
-        quote='"',
-        escape='"',
-        mode="PERMISSIVE",
-        nullValue=_NO_FIELD,
-        multiLine=multiline,
-        ignoreLeadingWhiteSpace=trim,
-        ignoreTrailingWhiteSpace=trim,
+class Landing:
+    """What one pass over CSV files left in a folder.
+
+    `text` are the rows that parsed, `malformed` those that did not; `typed` are the rows whose
+    values all cast, `mistyped` the others that parsed.  `counts` are rows per verdict, counted
+    by the pass itself.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, names: Sequence[str], typed: T.StructType | None,
+        counts: dict[str, int],
+    ):
+        self.folder, self.names, self.counts = folder, list(names), counts
+        self._rows = spark.read.schema(_stored_schema(names, typed)).parquet(folder)
+        self._types = typed
+
+    def _of(self, *verdicts: str) -> DataFrame:
+        return self._rows.filter(F.col(VERDICT).isin(*verdicts))
+
+    def _skipped(self, verdict: str) -> DataFrame:
+        return self._of(verdict).select(*self.names, "raw_record", "reason")
+
+    @property
+    def text(self) -> DataFrame:
+        return self._of(LOADED, MISTYPED).select(*self.names)
+
+    @property
+    def malformed(self) -> DataFrame:
+        return self._skipped(MALFORMED)
+
+    @property
+    def typed(self) -> DataFrame:
+        if self._types is None:
+            raise ValueError("landed without types")
+        return self._of(LOADED).select(*[F.col(f"typed.{n}").alias(n) for n in self.names])
+
+    @property
+    def mistyped(self) -> DataFrame:
+        return self._skipped(MISTYPED)
+
+
+def _stored_schema(names: Sequence[str], typed: T.StructType | None) -> T.StructType:
+    cast = [T.StructField("typed", typed)] if typed is not None else []
+    text = [*strings(names).fields, *strings(["raw_record", "reason"]).fields]
+    return T.StructType([*text, *cast, T.StructField(VERDICT, T.StringType())])
+
+
+def _csv_options(multiline: bool, trim: bool) -> dict[str, object]:
+    return dict(
+        quote='"', escape='"', mode="PERMISSIVE", nullValue=_NO_FIELD, multiLine=multiline,
+        ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim,
     )
 
 
+def _reader(spark: SparkSession, trim: bool, header: bool):
+    return spark.read.options(header=header, **_csv_options(False, trim))
+
+
+def _parsed(records: DataFrame, names: Sequence[str], trim: bool) -> DataFrame:
+    """Fields of records that were cut out of their files, with what is malformed."""
+    fields = strings([*names, _CORRUPT])
+    options = {**_csv_options(True, trim), "columnNameOfCorruptRecord": _CORRUPT, "header": False}
+    texts = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()}
+    return records.select(F.from_csv("value", fields.simpleString(), texts).alias("_r")).select("_r.*")
+
+
 def _null_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     if not tokens:
         return df
@@ -58,54 +120,84 @@ def _null_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     )
 
 
-def read_positional(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, *, header: bool = True,
+def land(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, *,
+    typed: T.StructType | None = None, folder: str | None = None, header: bool = True,
     multiline: bool = False, trim: bool = False, null_tokens: Sequence[str] = (),
-) -> Landed:
-    """Read columns by position into an all-text schema; rows of another width are rejected."""
+) -> Landing:
+    """Parse files once, by position, and store every row with its verdict in `folder`.
+
+    `schema` names the columns; `typed` is what their values are cast to.  Rows of another width are
+    malformed.  Without a folder the rows go to the scratch folder.
+    """
     names = schema.fieldNames()
-    with_corrupt = T.StructType([*strings(names).fields, T.StructField(_CORRUPT, T.StringType())])
-    rows = (
-        _reader(spark, multiline, trim, header)
-        .options(enforceSchema=True, columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
-        .schema(with_corrupt)
-        .csv(path)
-    )
-    # Spark refuses plans that need only the corrupt-record column, as a bare count would; this
-    # test holds for every row, and the optimizer does not know that.
-    needs_data = F.coalesce(F.length(names[0]), F.lit(0)) >= 0
-    good = rows.filter(F.col(_CORRUPT).isNull() & needs_data).select(*names)
-    rejected = rows.filter(F.col(_CORRUPT).isNotNull() & needs_data).select(
-        *names,
-        F.col(_CORRUPT).alias("raw_record"),
-        F.lit("malformed row").alias("reason"),
+    if multiline:
+        rows = _parsed(csv_records(spark, path, header=header, trim=trim), names, trim)
+    else:
+        rows = (
+            _reader(spark, trim, header)
+            .options(enforceSchema=True, columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
+            .schema(strings([*names, _CORRUPT]))
+            .csv(path)
+        )
+    broken = F.col(_CORRUPT).isNotNull()
+    if null_tokens:
+        tokens = list(null_tokens)
+        rows = rows.select(*[F.when(broken | ~F.col(n).isin(tokens), F.col(n)).alias(n) for n in names], _CORRUPT)
+    if typed is None:
+        reason, cast = F.when(broken, F.lit("malformed row")), []
+    else:
+        rows, bad = _cast(rows, typed)
+        cast = [F.when(~broken & (bad == ""), F.col("_typed")).alias("typed")]
+        reason = F.when(broken, F.lit("malformed row")).when(bad != "", F.concat(F.lit("bad "), bad))
+    judged = rows.select(*names, F.col(_CORRUPT).alias("raw_record"), reason.alias("reason"), *cast)
+    verdict = F.when(F.col("reason").isNull(), LOADED).when(F.col("raw_record").isNull(), MISTYPED).otherwise(MALFORMED)
+    seen = Observation()
+    counted = judged.withColumn(VERDICT, verdict).observe(
+        seen, *[F.count_if(F.col(VERDICT) == v).alias(v) for v in (LOADED, MISTYPED, MALFORMED)]
     )
-    return Landed(_null_tokens(good, null_tokens), rejected)
+    folder = folder or scratch_path(spark, "landing")
+    counted.write.partitionBy(VERDICT).parquet(folder)
+    found = seen.get
+    return Landing(spark, folder, names, typed, {v: found.get(v, 0) for v in (LOADED, MISTYPED, MALFORMED)})
+
+
+def read_positional(spark: SparkSession, path: str | list[str], schema: T.StructType, **options) -> Landed:
+    """Read columns by position into an all-text schema; rows of another width are rejected.
+
+    Options are those of `land`.
+    """
+    landing = land(spark, path, schema, **options)
+    return Landed(landing.text, landing.malformed)
 
 
 def read_typed(
     spark: SparkSession, path: str | list[str], schema: T.StructType, **options
 ) -> Landed:
     """Read by position and cast; a row with a value that does not cast is rejected."""
-    text = read_positional(spark, path, strings(schema.fieldNames()), **options)
-    cast = apply_types(text.good, schema)
-    malformed = text.rejected.select(*cast.rejected.columns)
-    return Landed(cast.good, cast.rejected.unionByName(malformed))
+    landing = land(spark, path, schema, typed=schema, **options)
+    return Landed(landing.typed, landing.mistyped.unionByName(landing.malformed))
+
+
+def _cast(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column]:
+    """The frame with `_typed`, each column cast once, and the names of columns that do not cast."""
+    names = schema.fieldNames()
+    cast = computed_once(df, "_typed", F.struct(*[_try_type(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]))
+    # A cast that gives a value ends the test; only the few others look at the text.
+    bad = [F.col(f"_typed.{n}").isNull() & (F.coalesce(F.trim(n), F.lit("")) != "") for n in names]
+    return cast, F.when(
+        reduce(Column.__or__, bad),
+        F.array_join(F.array_compact(F.array(*[F.when(b, F.lit(n)) for n, b in zip(names, bad, strict=True)])), ", "),
+    ).otherwise("")
 
 
 def apply_types(df: DataFrame, schema: T.StructType) -> Landed:
     """Cast text columns to a schema, apart from rows in which some value does not cast."""
     names = schema.fieldNames()
-    casts = {f.name: _try_type(F.col(f.name), f.dataType) for f in schema.fields}
-    # A cast that gives a value ends the test; only the few others look at the text.
-    bad = {n: casts[n].isNull() & (F.coalesce(F.trim(n), F.lit("")) != "") for n in names}
-    any_bad = reduce(Column.__or__, bad.values())
-    why = F.array_join(F.array_compact(F.array(*[F.when(b, F.lit(n)) for n, b in bad.items()])), ", ")
-    good = df.filter(~any_bad).select(*[casts[n].alias(n) for n in names])
-    rejected = df.filter(any_bad).select(
-        *names,
-        F.lit(None).cast("string").alias("raw_record"),
-        F.concat(F.lit("bad "), why).alias("reason"),
+    cast, bad = _cast(df, schema)
+    good = cast.filter(bad == "").select(*[F.col(f"_typed.{n}").alias(n) for n in names])
+    rejected = cast.filter(bad != "").select(
+        *names, F.lit(None).cast("string").alias("raw_record"), F.concat(F.lit("bad "), bad).alias("reason")
     )
     return Landed(good, rejected)
 
@@ -134,9 +226,13 @@ def read_by_header(
     with the same one are read together.
     """
     frames = []
-    for files in _files_by_header(spark, [paths] if isinstance(paths, str) else list(paths)):
-        rows = _reader(spark, multiline, trim, header=True).csv(files)
-        rows = rows.toDF(*[normalize_name(c) for c in rows.columns])
+    for names, files in _files_by_header(spark, [paths] if isinstance(paths, str) else list(paths), multiline):
+        if multiline:
+            columns = [f"c{i}" for i in range(len(names))]
+            rows = _parsed(csv_records(spark, files, trim=trim), columns, trim).drop(_CORRUPT)
+        else:
+            rows = _reader(spark, trim, header=True).schema(strings(f"c{i}" for i in range(len(names)))).csv(files)
+        rows = rows.toDF(*[normalize_name(c) for c in names])
         if schema is not None:
             have = {c.upper(): c for c in rows.columns}
             rows = rows.select(
@@ -156,18 +252,45 @@ def read_by_header(
     return merged
 
 
-def _files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """The files of all paths, together with those that have the same first line.
+def _files_by_header(spark: SparkSession, paths: list[str], multiline: bool) -> list[tuple[list[str], list[str]]]:
+    """Column names, and the files of all paths that have them in their first record.
 
-    The lines come from the first block of each file; a name and a line per file reach the
-    driver, which lists the files for a scan anyway.
+    A name and a record per file reach the driver, which lists the files for a scan anyway.
     """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"), "value",
-    ).filter("start = 0")
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
     found: dict[str, list[str]] = {}
-    for row in first.orderBy("file").collect():
-        found.setdefault(row["header"], []).append(unquote(row["file"]))
-    return list(found.values())
+    for row in sorted(_first_records(spark, paths, multiline).collect()):
+        found.setdefault(row["header"].removesuffix("\r"), []).append(unquote(row["file"]))
+    return [(_names(header), files) for header, files in found.items()]
+
+
+def _names(header: str) -> list[str]:
+    """The fields of a header record."""
+    return [name.strip() for name in next(csv.reader([header.removeprefix("\ufeff")], doublequote=True), [])]
+
+
+def _first_records(spark: SparkSession, paths: list[str], multiline: bool) -> DataFrame:
+    """file and header: a task opens each file and reads until its first record ends.
+
+    In a session of its own every file is one partition and an Arrow batch is one line, so the
+    task stops after the line, and the scan with it, however long the file is.
+    """
+    own = spark.newSession()
+    for key, value in {
+        "spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 60),
+        "spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+    }.items():
+        own.conf.set(key, value)
+    lines = own.read.option("lineSep", "\n").text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, file = [], None
+        for batch in batches:
+            for name, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                file = name
+                held.append(value)
+            if held and not (multiline and sum(v.count('"') for v in held) % 2):
+                break
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array(["\n".join(held)])], ["file", "header"])
+
+    return lines.mapInArrow(first, "file string, header string")
