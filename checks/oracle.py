@@ -112,6 +112,9 @@ RELATIONS: dict[str, str] = {
             open_date, latitude, longitude, is_active
         FROM r_stations s LEFT JOIN zips ON s.zip = zips.zip
         LEFT JOIN counties ON county = county_name WHERE electric""",
+    "listed": """
+        SELECT station_key, zip FROM stations_b
+        UNION ALL SELECT station_key, (zip::INTEGER + 1)::VARCHAR FROM stations_b WHERE station_key % 3 = 0""",
     "new_evs": """
         SELECT county, model_year AS year, count(*) AS n FROM r_registrations
         WHERE electric AND valid_date >= DATE '1996-07-01' AND model_year BETWEEN 1995 AND 2001
@@ -359,6 +362,16 @@ QUERIES: dict[str, str] = {
         FROM markets m LEFT JOIN stations_b s ON m.zip = s.zip
         GROUP BY m.city, m.county, total HAVING count(DISTINCT station_key) > 0
         ORDER BY total DESC, m.city, m.county LIMIT 10""",
+    "evs_per_station_listed": f"""
+        SELECT m.city, m.county, total AS total_ev_registrations,
+            count(DISTINCT station_key) AS station_count,
+            {half_up("total", "count(DISTINCT station_key)", 2)} AS evs_per_station
+        FROM markets m LEFT JOIN listed s ON m.zip = s.zip
+        GROUP BY m.city, m.county, total HAVING count(DISTINCT station_key) > 0
+        ORDER BY total DESC, m.city, m.county LIMIT 10""",
+    "county_stations_listed": """
+        SELECT m.county, count(DISTINCT station_key) AS station_count
+        FROM markets m JOIN listed s ON m.zip = s.zip GROUP BY m.county""",
     "row_counts": """
         SELECT 'raw_ev_stations' AS table_name, count(*) AS row_count FROM r_stations
         UNION ALL SELECT 'raw_ev_registrations', count(*) FROM r_registrations
@@ -403,6 +416,10 @@ QUERIES: dict[str, str] = {
         SELECT id, station_name || ', ' || p_type || ' "model"' AS station_name, ev_network, city,
             zip, CASE WHEN l2 IS NULL THEN 'n/a' ELSE l2::VARCHAR END AS ev_level2_evse_num,
             coalesce(open_date::VARCHAR, 'unknown') AS open_date FROM r_stations""",
+    "csv_stations_line_breaks": """
+        SELECT id, CASE WHEN k % 3 = 0 THEN station_name || chr(10) || '"second, line",' || chr(10) || id
+            ELSE station_name END AS station_name, zip,
+            coalesce(open_date::VARCHAR, 'unknown') AS open_date FROM r_stations""",
     "csv_station_feed": """
         SELECT id AS ID, station_name AS STATIONNAME, ev_network AS EVNETWORK, zip AS ZIP,
             trim(city) AS CITY, NULL::VARCHAR AS STATE,
@@ -421,8 +438,8 @@ QUERIES: dict[str, str] = {
             ELSE 'bad session_id' END AS reason, count(*) AS row_count
         FROM r_sessions GROUP BY 1""",
     "inserted_locations": """
-        SELECT NULL::BIGINT AS location_key, county_name, NULL::VARCHAR AS state_code, region,
-            population, median_income FROM counties""",
+        SELECT row_number() OVER (ORDER BY region <> 'North', county_name) AS location_key,
+            county_name, NULL::VARCHAR AS state_code, region, population, median_income FROM counties""",
     "inserted_calendar": _YEAR_ROWS,
     "loaded_raw_counts": """
         SELECT 'stations' AS tbl, count(*) AS row_count FROM r_stations
@@ -461,6 +478,17 @@ QUERIES: dict[str, str] = {
         UNION ALL SELECT 'fact_session_bridged', count(*) FROM bridged""",
 }
 
+# The same results from stored tables.
+QUERIES |= {
+    "stored_row_counts": QUERIES["row_counts"],
+    "stored_fk_fill_rates": QUERIES["fk_fill_rates"],
+    "stored_load_reconciliation": QUERIES["load_reconciliation"],
+    "stored_stations_lifetime": QUERIES["top_stations_lifetime"],
+    "stored_monthly_revenue": QUERIES["monthly_revenue"].replace(
+        "date_key IS NOT NULL", "date_key // 10000 = 1998"
+    ),
+}
+
 
 def _needs(sql: str) -> list[str]:
     """Relations a statement mentions, each after those it is built on."""

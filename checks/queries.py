@@ -6,6 +6,7 @@ Every query starts from the parquet tables: nothing is kept from one query to th
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -331,6 +332,27 @@ def evs_per_station(m: Marts) -> DataFrame:
     return reports.evs_per_station(m.dim_ev_market, m.dim_station_bridged)
 
 
+def _listed_twice(m: Marts) -> DataFrame:
+    """Stations, each third one listed under the next zip as well."""
+    listed = m.dim_station_bridged.select("station_key", "zip")
+    second = listed.filter("station_key % 3 = 0").select(
+        "station_key", (F.col("zip").cast("int") + 1).cast("string").alias("zip")
+    )
+    return listed.unionByName(second)
+
+
+@on_marts
+def evs_per_station_listed(m: Marts) -> DataFrame:
+    """The expansion report where a station may be listed under two zips."""
+    return reports.evs_per_station(m.dim_ev_market, _listed_twice(m))
+
+
+@on_marts
+def county_stations_listed(m: Marts) -> DataFrame:
+    """Distinct stations per county, merged from those of its markets."""
+    return reports.county_stations(m.dim_ev_market, _listed_twice(m))
+
+
 # --- quality ----------------------------------------------------------------------------
 
 
@@ -417,6 +439,65 @@ def market_duplicates(m: Marts) -> DataFrame:
     return quality.duplicate_keys(m.dim_ev_market, "zip")
 
 
+def _stored(m: Marts) -> Marts:
+    """Marts that are stored in layers of their own."""
+    return Marts(m.spark, m.raw, m.settings, _layers(m.spark))
+
+
+@on_marts
+def stored_row_counts(m: Marts) -> DataFrame:
+    """Row counts as the writes counted them; no stored table is read for them."""
+    stored = _stored(m)
+    layers = stored.layers
+    for table, rows in {
+        "raw.station_feed": m.raw.station_feed, "raw.registrations": m.raw.registrations_positional,
+        "raw.sessions": m.raw.sessions,
+    }.items():
+        layers.replace(rows, table)
+    for built in (stored.dim_location_zip_city, stored.dim_ev_market, stored.fact_session_bridged):
+        assert built is not None
+    return quality.loaded_row_counts(layers, {
+        "raw_ev_stations": "raw.station_feed", "raw_ev_registrations": "raw.registrations",
+        "raw_sessions": "raw.sessions", "dim_location": "marts.dim_location_zip_city",
+        "dim_ev_market": "marts.dim_ev_market", "fact_charging_session": "marts.fact_session_bridged",
+    })
+
+
+@on_marts
+def stored_fk_fill_rates(m: Marts) -> DataFrame:
+    """Filled keys of the bridged fact as its write counted them."""
+    stored = _stored(m)
+    assert stored.fact_session_bridged is not None
+    keys = {
+        "has_station": "station_key", "has_date": "date_key", "has_location": "location_key",
+        "has_market": "market_key",
+    }
+    return quality.loaded_fill_counts(stored.layers, "marts.fact_session_bridged", keys, "total_sessions")
+
+
+@on_marts
+def stored_load_reconciliation(m: Marts) -> DataFrame:
+    """Raw against loaded sessions as the writes counted them."""
+    stored = _stored(m)
+    stored.layers.replace(m.raw.sessions, "raw.sessions")
+    assert stored.fact_session_matched is not None
+    return quality.loaded_reconciliation(stored.layers, "raw.sessions", "marts.fact_session_matched")
+
+
+@on_marts
+def stored_monthly_revenue(m: Marts) -> DataFrame:
+    """Months of one year from a fact stored by month, of which only these are read."""
+    stored = Marts(m.spark, m.raw, replace(m.settings, facts_by_month=True), _layers(m.spark))
+    return reports.monthly_revenue(stored.fact_session_bridged, stored.dim_date_bridged, 1998)
+
+
+@on_marts
+def stored_stations_lifetime(m: Marts) -> DataFrame:
+    """The lifetime report on facts and stations stored by station."""
+    stored = Marts(m.spark, m.raw, replace(m.settings, station_buckets=8), _layers(m.spark))
+    return reports.top_stations_lifetime(stored.fact_station_daily_snapshot, stored.dim_station_matched)
+
+
 # --- landing and tables -----------------------------------------------------------------
 
 
@@ -438,6 +519,18 @@ def csv_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def csv_stations_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations whose names have line breaks, separators and quotes inside quotes."""
+    stations = SampleLayer(spark, sf_dir).stations
+    k = F.col("id").cast("bigint")
+    name = F.when(k % 3 == 0, F.concat("station_name", F.lit('\n"second, line",\n'), "id")).otherwise(F.col("station_name"))
+    path = scratch_path(spark, "lines-csv")
+    _write_csv(stations.withColumn("station_name", name), path)
+    landed = read_positional(spark, path, schemas.RAW_STATIONS, multiline=True).good
+    return landed.select("id", "station_name", "zip", "open_date")
+
+
 @query
 def csv_station_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text columns by header name, padded and in another order, with null tokens."""
@@ -516,11 +609,13 @@ def typed_sessions_rejected(m: Marts) -> DataFrame:
 
 @on_marts
 def inserted_locations(m: Marts) -> DataFrame:
-    """Insert by name into a declared table, columns out of order and the key left out."""
+    """Two inserts by name into a declared table, columns out of order; the table fills its keys."""
     layers = _layers(m.spark)
-    layers.declare("marts.dim_location", schemas.DIM_LOCATION_COUNTY)
+    layers.declare("marts.dim_location", schemas.DIM_LOCATION_COUNTY, identity="location_key")
     rows = m.dim_location_county.select("median_income", "population", "county_name", "region")
-    layers.append(rows, "marts.dim_location")
+    north = F.col("region") == "North"
+    layers.append(rows.filter(north), "marts.dim_location", ["county_name"])
+    layers.append(rows.filter(~north), "marts.dim_location", ["county_name"])
     return layers.read("marts.dim_location")
 
 

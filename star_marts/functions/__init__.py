@@ -7,6 +7,7 @@ from star_marts.functions.clean import (
     half_up_ratio,
     label_by_members,
     money_text,
+    month_key,
     norm_text,
     normalize_zip,
     not_blank,
@@ -19,7 +20,7 @@ from star_marts.functions.clean import (
 
 __all__ = [
     "calendar_covering", "date_key", "dim_date", "five_digit_code", "half_up_ratio",
-    "label_by_members", "money_text", "norm_text", "normalize_zip", "not_blank",
+    "label_by_members", "money_text", "month_key", "norm_text", "normalize_zip", "not_blank",
     "tier_label", "try_date", "try_number", "try_us_date",
     "try_whole",
 ]

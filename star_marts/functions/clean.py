@@ -84,6 +84,11 @@ def date_key(c: Column | str) -> Column:
     return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
+def month_key(date_key: Column | str) -> Column:
+    """yyyymm of a yyyymmdd key."""
+    return F.floor(_col(date_key) / 100).cast("int")
+
+
 def half_up_ratio(
     numerator: Column, denominator: Column, scale: int, precision: int = 38, operands: str | None = None,
 ) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from star_marts.session import stage
@@ -24,13 +24,12 @@ def size_in_bytes(df: DataFrame) -> int | None:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _is_broadcast(join: DataFrame) -> bool:
-    """Whether the optimizer broadcasts a side of this join, so that no key gathers rows."""
-    if not hasattr(join, "_jdf"):
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer, by its statistics, would broadcast this side of a join."""
+    if not hasattr(df, "_jdf"):
         return False
-    plan = join._jdf.queryExecution().sparkPlan().toString()
-    at_top = [line.strip() for line in plan.splitlines()[:2]]
-    return any("BroadcastHashJoin" in line for line in at_top)
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size_in_bytes(df) <= limit
 
 
 def lookup_join(
@@ -38,13 +37,15 @@ def lookup_join(
 ) -> DataFrame:
     """Join facts to a dimension on its key columns; `how` is left, inner or left_anti.
 
-    If the optimizer broadcasts the dimension, that is all: no fact row moves.  Pass stored or
-    staged dimensions: their size is that of their files, while the estimate for a join is the
-    product of its sides.  A larger dimension is shuffled, and the rows of hot keys are spread.
+    If the dimension's statistics let the optimizer broadcast it, that is all: no fact row moves.
+    Pass stored or staged dimensions: their size is that of their files, while the estimate for
+    a join is the product of its sides.  A larger dimension is shuffled, and the rows of hot keys
+    are spread.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    plain = facts.join(dimension, keys, how)
-    return plain if _is_broadcast(plain) else salted_join(facts, dimension, keys, how)
+    if fits_broadcast(dimension):
+        return facts.join(dimension, keys, how)
+    return salted_join(facts, dimension, keys, how)
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,12 +54,14 @@ def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     `_salts` is the number of such quarters they have.  All rows are counted, once.  There are
     fewer hot keys than four times the shuffle partitions.
     """
-    counts = stage(facts.groupBy(*keys).agg(F.count("*").alias("_n")), "counts")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
+    seen = Observation()
+    per_key = facts.groupBy(*keys).agg(F.count("*").alias("_n")).observe(seen, F.sum("_n").alias("total"))
+    counts = stage(per_key, "counts")
+    total = seen.get.get("total") or 0
     tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     most = max(1, total // (_SHARES * tasks))
     hot = counts.filter(F.col("_n") > most)
-    return stage(hot.select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_salts")), "hot")
+    return hot.select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_salts"))
 
 
 def salted_join(

@@ -30,6 +30,20 @@ def with_surrogate_key(
     The numbered rows are staged once, because positions hold only for one run of the plan.
     What comes back is a scan of that table, joined to the first key of each write task.
     """
+    return _numbered(df, name, order_by, 1)[0]
+
+
+def keyed_from(
+    df: DataFrame, name: str, order_by: Sequence[str | Column] | None, first: int
+) -> tuple[DataFrame, int]:
+    """`with_surrogate_key` from `first` on, and how many keys it took."""
+    keyed, starts = _numbered(df, name, order_by, first)
+    return keyed, starts.agg(F.max(F.col("_start") + F.col("_size"))).first()[0] or 0
+
+
+def _numbered(
+    df: DataFrame, name: str, order_by: Sequence[str | Column] | None, first: int
+) -> tuple[DataFrame, DataFrame]:
     rows = df
     if order_by:
         order = [
@@ -44,11 +58,11 @@ def with_surrogate_key(
     sizes = placed.groupBy("_chunk").agg((F.max("_position") + 1).alias("_size"))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = stage(
-        sizes.select("_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")),
+        sizes.select("_chunk", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")),
         f"{name}-starts",
     )
-    key = F.col("_start") + F.col("_position") + 1
-    return placed.join(starts, "_chunk").select(key.alias(name), *df.columns)
+    key = F.col("_start") + F.col("_position") + first
+    return placed.join(starts, "_chunk").select(key.alias(name), *df.columns), starts
 
 
 def modulo_bridge_key(identifier: Column, dimension: DataFrame) -> Column:

@@ -160,9 +160,10 @@ def bridge_sessions(sessions: DataFrame, stations: DataFrame, dates: DataFrame)
 
 
 def fact_session_bridged(
-    bridged: DataFrame, stations: DataFrame, locations: DataFrame, markets: DataFrame,
+    sessions: DataFrame, stations: DataFrame, locations: DataFrame, markets: DataFrame,
+    dates: DataFrame,
 ) -> DataFrame:
-    """Bridged sessions with location, market and rates.
+    """Typed sessions bridged to stations, with date, location, market and rates.
 
     Location and market follow from the station, so they are looked up once per station;
     each session then meets one station row.
@@ -175,6 +176,7 @@ def fact_session_bridged(
         "placed",
     )
     minutes = F.col("duration_minutes").cast("decimal(10,0)")
+    bridged = bridge_sessions(sessions, stations, dates)
     return lookup_join(bridged, placed, "station_key", "left").select(
         "session_id",
         "station_key",

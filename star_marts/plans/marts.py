@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from star_marts import fixed_values as fixed
 from star_marts import schemas
-from star_marts.functions import dim_date
+from star_marts.functions import dim_date, month_key
 from star_marts.plans import dimensions, facts, staging
 from star_marts.plans.raw import RawLayer
 from star_marts.session import stage
@@ -25,8 +25,10 @@ class Settings:
 
     `state` selects registrations for the (zip, city) tables.  The county tables only stamp it
     on, unless `county_state` limits the registrations that map zips to counties.
-    `facts_by_month` partitions stored session facts and snapshots by a `month_key` (yyyymm), for
-    queries that need some months of a large fact.
+    `facts_by_month` partitions stored facts by a `month_key` (yyyymm); reports read only the months
+    that their calendar rows fall in.  `station_buckets` stores session facts, snapshots and matched
+    stations by that many buckets of the station key, so that roll-ups and joins by station move
+    no fact row; a fact in which one station has too many rows for a bucket is stored plainly.
     """
 
     calendar_first: dt.date = dt.date(2014, 1, 1)
@@ -39,6 +41,7 @@ class Settings:
     state: str = "NY"
     county_state: str | None = None
     facts_by_month: bool = False
+    station_buckets: int | None = None
     regions: Mapping[str, Sequence[str]] = field(default_factory=lambda: fixed.NY_REGIONS)
 
 
@@ -74,17 +77,38 @@ class Marts:
             return stage(df, name)
         return self.layers.replace(df, f"{layer}.{name}", schemas.MARTS.get(name))
 
+    def _dimension(self, name: str, df: DataFrame) -> DataFrame:
+        """A station dimension, stored in the buckets of its facts."""
+        buckets = self.settings.station_buckets
+        if self.layers is None or buckets is None:
+            return self._keep(name, df)
+        return self.layers.replace(
+            df, f"marts.{name}", schemas.MARTS.get(name), bucket_by=("station_key", buckets)
+        )
+
     def _fact(self, name: str, df: DataFrame, key: str | None = None) -> DataFrame:
         """Only stored facts have an identity key: nothing joins on it."""
         if self.layers is None:
             return df
         rows = df if key is None else facts.with_identity_key(df, key)
         schema = schemas.MARTS.get(name)
-        if not self.settings.facts_by_month:
-            return self.layers.replace(rows, f"marts.{name}", schema)
-        typed = rows if schema is None else schemas.conform(rows, schema)
-        monthly = typed.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
-        return self.layers.replace(monthly, f"marts.{name}", partition_by=["month_key"])
+        by_month = self.settings.facts_by_month and "date_key" in df.columns
+        if by_month:
+            typed = rows if schema is None else schemas.conform(rows, schema)
+            rows, schema = typed.withColumn("month_key", month_key("date_key")), None
+        buckets = self._buckets(df)
+        return self.layers.replace(
+            rows, f"marts.{name}", schema, ["month_key"] if by_month else (), buckets
+        )
+
+    def _buckets(self, fact: DataFrame) -> tuple[str, int] | None:
+        """By station, unless one station alone has more than two buckets' fair share of the rows."""
+        buckets = self.settings.station_buckets
+        if buckets is None or "station_key" not in fact.columns:
+            return None
+        per_station = fact.groupBy("station_key").agg(F.count("*").alias("n"))
+        total, most = per_station.agg(F.sum("n"), F.max("n")).first()
+        return None if total and most * buckets > 2 * total else ("station_key", buckets)
 
     # --- county generation --------------------------------------------------------------
 
@@ -111,7 +135,7 @@ class Marts:
         df = dimensions.dim_station_matched(
             self.raw.stations, self.zip_to_county, self.dim_location_county
         )
-        return self._keep("dim_station_matched", df)
+        return self._dimension("dim_station_matched", df)
 
     @property
     def new_registrations(self) -> DataFrame:
@@ -131,7 +155,9 @@ class Marts:
             self.dim_location_county, self.new_registrations, self.new_stations,
             s.demand_first, s.demand_last,
         )
-        return self._keep("fact_market_demand", df)
+        if self.layers is None:
+            return self._keep("fact_market_demand", df)
+        return self._fact("fact_market_demand", df)
 
     @cached_property
     def fact_session_matched(self) -> DataFrame:
@@ -158,7 +184,7 @@ class Marts:
 
     @cached_property
     def dim_station_bridged(self) -> DataFrame:
-        return self._keep(
+        return self._dimension(
             "dim_station_bridged", dimensions.dim_station_bridged(self.raw.station_feed)
         )
 
@@ -181,7 +207,7 @@ class Marts:
     @cached_property
     def fact_session_bridged(self) -> DataFrame:
         df = facts.fact_session_bridged(
-            self.bridged_sessions, self.dim_station_bridged, self.dim_location_zip_city,
-            self.dim_ev_market,
+            self.raw.typed_sessions, self.dim_station_bridged, self.dim_location_zip_city,
+            self.dim_ev_market, self.dim_date_bridged,
         )
         return self._fact("fact_session_bridged", df)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from star_marts.functions import try_number
+from star_marts.sources import Layers
 
 
 def row_counts(tables: Mapping[str, DataFrame], name: str = "table_name") -> DataFrame:
@@ -59,6 +60,32 @@ def slice_between(df: DataFrame, column: str, low: object, high: object) -> Data
     return df.filter(F.col(column).between(F.lit(low), F.lit(high))).orderBy(column)
 
 
+# --- the same counts from what the writes of stored tables counted: no table is read -----------
+
+
+def loaded_row_counts(layers: Layers, tables: Mapping[str, str], name: str = "table_name") -> DataFrame:
+    """`row_counts` of stored tables, given as {label: 'layer.table'}."""
+    rows = [(label, layers.loaded(table).rows) for label, table in tables.items()]
+    return layers.spark.createDataFrame(rows, f"{name} string, row_count bigint")
+
+
+def loaded_fill_counts(
+    layers: Layers, table: str, columns: Mapping[str, str], total: str = "total_rows"
+) -> DataFrame:
+    """`fill_counts` of a stored table."""
+    counts = layers.loaded(table)
+    values = [counts.rows, *[counts.filled[c] for c in columns.values()]]
+    return layers.spark.createDataFrame([tuple(values)], ", ".join(f"`{n}` bigint" for n in [total, *columns]))
+
+
+def loaded_reconciliation(layers: Layers, raw: str, loaded: str) -> DataFrame:
+    """`reconcile` of two stored tables."""
+    before, after = layers.loaded(raw).rows, layers.loaded(loaded).rows
+    return layers.spark.createDataFrame(
+        [(before, after, before - after)], "raw_rows bigint, loaded_rows bigint, dropped_rows bigint"
+    )
+
+
 def missing_references(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Distinct foreign keys without a dimension row."""
     used = facts.select(key).filter(F.col(key).isNotNull()).distinct()

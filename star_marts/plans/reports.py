@@ -13,14 +13,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from star_marts import fixed_values as fixed
-from star_marts.functions import half_up_ratio, money_text, tier_label
-from star_marts.operators import top_k
+from star_marts.functions import half_up_ratio, money_text, month_key, tier_label
+from star_marts.operators import count_keys, key_bitmaps, merge_bitmaps, top_k
+
+
+_MONTH = "month_key"  # what stored facts may be partitioned by
 
 
 def _mean(total: str, count: str, scale: int) -> Column:
     return half_up_ratio(F.sum(total), F.sum(count), scale, operands="decimal(26,8)")
 
 
+def _dated(facts: DataFrame, dates: DataFrame, *columns: str) -> DataFrame:
+    """Rows of the given days, with columns of the calendar.
+
+    A fact that is stored by month is joined by month too, so that what the calendar is filtered
+    to decides, while the query runs, which months are read.
+    """
+    days = dates.select("date_key", *columns)
+    if _MONTH not in facts.columns:
+        return facts.join(days, "date_key")
+    return facts.join(days.withColumn(_MONTH, month_key("date_key")), ["date_key", _MONTH])
+
+
+def _by_day(facts: DataFrame) -> list[str]:
+    """What a roll-up to days keeps, so that it can be pruned by month."""
+    return ["date_key", _MONTH] if _MONTH in facts.columns else ["date_key"]
+
+
 # --- demand by county -------------------------------------------------------------------
 
 
@@ -32,7 +52,8 @@ def underserved_markets(
     in_year = demand.drop("population", "median_income").filter(
         (F.col("station_count_cum") > min_stations)
         & (F.col("ev_registrations_cum") > min_vehicles)
-    ).join(dates.filter(F.col("year") == year).select("date_key"), "date_key")
+    )
+    in_year = _dated(in_year, dates.filter(F.col("year") == year))
     named = in_year.join(
         locations.select("location_key", "county_name", "region", "median_income"), "location_key"
     )
@@ -52,10 +73,8 @@ def regional_growth(
     demand: DataFrame, locations: DataFrame, dates: DataFrame, first: int = 2020, last: int = 2025
 ) -> DataFrame:
     """Vehicles and stations added per region and year."""
-    years = dates.filter(F.col("year").between(first, last)).select("date_key", "year")
-    in_range = demand.select("date_key", "location_key", "new_ev_registrations", "new_stations").join(
-        years, "date_key"
-    )
+    added = demand.select(*_by_day(demand), "location_key", "new_ev_registrations", "new_stations")
+    in_range = _dated(added, dates.filter(F.col("year").between(first, last)), "year")
     return (
         in_range.join(locations.select("location_key", "region"), "location_key")
         .groupBy("region", "year")
@@ -176,18 +195,19 @@ def top_stations_revenue(sessions: DataFrame, stations: DataFrame, k: int = 10)
     return top_k(merged, "total_revenue", k, "station_name", "network", "city")
 
 
-def monthly_revenue(sessions: DataFrame, dates: DataFrame) -> DataFrame:
-    """Sessions and revenue per calendar month."""
+def monthly_revenue(sessions: DataFrame, dates: DataFrame, year: int | None = None) -> DataFrame:
+    """Sessions and revenue per calendar month, of all years or of one."""
     per_day = (
         sessions.filter(F.col("date_key").isNotNull())
-        .groupBy("date_key")
+        .groupBy(*_by_day(sessions))
         .agg(
             F.count("*").alias("n"),
             F.sum("revenue_usd").alias("revenue"),
             F.count("revenue_usd").alias("paid"),
         )
     )
-    months = per_day.join(dates.select("date_key", "month", "month_name"), "date_key")
+    days = dates if year is None else dates.filter(F.col("year") == year)
+    months = _dated(per_day, days, "month", "month_name")
     return (
         months.groupBy("month", "month_name")
         .agg(
@@ -202,20 +222,10 @@ def monthly_revenue(sessions: DataFrame, dates: DataFrame) -> DataFrame:
 def evs_per_station(markets: DataFrame, stations: DataFrame, k: int = 10) -> DataFrame:
     """Largest markets that have stations, with vehicles per station.
 
-    Markets of one city, county and size merge.  A station has one zip and a market is one
-    zip, so station counts per zip add up to the distinct stations of a merged market.
+    Markets of one city, county and size merge.  A station counts once in a market, however many
+    of its zips list it.
     """
-    per_zip = (
-        stations.filter(F.col("zip").isNotNull())
-        .groupBy("zip")
-        .agg(F.count("station_key").alias("n"))
-    )
-    merged = (
-        per_zip.join(markets.select("zip", "city", "county", "total_ev_registrations"), "zip")
-        .groupBy("city", "county", "total_ev_registrations")
-        .agg(F.sum("n").alias("station_count"))
-        .filter(F.col("station_count") > 0)
-    )
+    merged = market_stations(markets, stations)
     rated = merged.withColumn(
         "evs_per_station",
         half_up_ratio(
@@ -227,6 +237,25 @@ def evs_per_station(markets: DataFrame, stations: DataFrame, k: int = 10) -> Dat
     return top_k(rated, "total_ev_registrations", k, "city", "county")
 
 
+_MARKET = ["city", "county", "total_ev_registrations"]
+
+
+def _station_bitmaps(markets: DataFrame, stations: DataFrame) -> DataFrame:
+    listed = stations.filter(F.col("zip").isNotNull()).select("zip", "station_key")
+    return key_bitmaps(listed.join(markets.select("zip", *_MARKET), "zip"), _MARKET, "station_key")
+
+
+def market_stations(markets: DataFrame, stations: DataFrame) -> DataFrame:
+    """city, county, total_ev_registrations and the distinct stations of each market that has some."""
+    return count_keys(_station_bitmaps(markets, stations), _MARKET, "station_count")
+
+
+def county_stations(markets: DataFrame, stations: DataFrame) -> DataFrame:
+    """Distinct stations per county, merged from those of its markets."""
+    merged = merge_bitmaps(_station_bitmaps(markets, stations), ["county"])
+    return count_keys(merged, ["county"], "station_count").orderBy(F.col("county").asc_nulls_last())
+
+
 def largest_locations(locations: DataFrame, k: int = 10) -> DataFrame:
     return top_k(locations, "population", k, "county_name")
 

@@ -13,12 +13,12 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +34,8 @@ _CORRUPT = "_corrupt_record"
 # Stands for a field with nothing in it; with the default, "" in quotes would be NULL too.
 _NO_FIELD = "\x00"
 
+HEADERS_AT_ONCE = 16
+
 VERDICT = "landing_verdict"
 LOADED, MISTYPED, MALFORMED = "loaded", "mistyped", "malformed"
 
@@ -258,8 +260,8 @@ def _files_by_header(spark: SparkSession, paths: list[str], multiline: bool) ->
     A name and a record per file reach the driver, which lists the files for a scan anyway.
     """
     found: dict[str, list[str]] = {}
-    for row in sorted(_first_records(spark, paths, multiline).collect()):
-        found.setdefault(row["header"].removesuffix("\r"), []).append(unquote(row["file"]))
+    for file, header in first_records(spark, paths, multiline):
+        found.setdefault(header.removesuffix("\r"), []).append(file)
     return [(_names(header), files) for header, files in found.items()]
 
 
@@ -268,29 +270,36 @@ def _names(header: str) -> list[str]:
     return [name.strip() for name in next(csv.reader([header.removeprefix("\ufeff")], doublequote=True), [])]
 
 
-def _first_records(spark: SparkSession, paths: list[str], multiline: bool) -> DataFrame:
-    """file and header: a task opens each file and reads until its first record ends.
+def first_records(spark: SparkSession, paths: list[str], multiline: bool = False) -> list[tuple[str, str]]:
+    """Every file that is not empty, and its first record.
 
-    In a session of its own every file is one partition and an Arrow batch is one line, so the
-    task stops after the line, and the scan with it, however long the file is.
+    A task opens each file and stops after the line, so what is read does not depend on how long
+    the file is; as many files as HEADERS_AT_ONCE are read side by side.
     """
-    own = spark.newSession()
-    for key, value in {
-        "spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 60),
-        "spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
-    }.items():
-        own.conf.set(key, value)
-    lines = own.read.option("lineSep", "\n").text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, file = [], None
-        for batch in batches:
-            for name, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                file = name
-                held.append(value)
-            if held and not (multiline and sum(v.count('"') for v in held) % 2):
-                break
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array(["\n".join(held)])], ["file", "header"])
-
-    return lines.mapInArrow(first, "file string, header string")
+    own = spark.newSession()  # settings of its own: a file is one partition
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 60))
+
+    def first(file: str) -> str | None:
+        lines = own.read.option("lineSep", "\n").text(file)
+        wanted = 1
+        while True:
+            found = [row["value"] for row in lines.limit(wanted).collect()]
+            header = "\n".join(found)
+            if len(found) < wanted or not (multiline and header.count('"') % 2):
+                return header if found else None
+            wanted *= 4
+
+    def record(file: str) -> tuple[str, str | None]:
+        header = first(file)
+        if header is not None and multiline and "\n" in header:
+            # Lines beyond the record may have come along.
+            lines, taken = header.split("\n"), 1
+            while "\n".join(lines[:taken]).count('"') % 2 and taken < len(lines):
+                taken += 1
+            header = "\n".join(lines[:taken])
+        return file, header
+
+    files = sorted(unquote(f) for f in own.read.text(paths).inputFiles())
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        return [(file, header) for file, header in pool.map(record, files) if header is not None]

@@ -6,7 +6,8 @@ every block of a file; a running composition over the blocks, a row each, gives
 block starts in; a second pass then cuts every block into records on its own.  A record that
 continues in the next block is joined from its pieces; nothing else moves.
 
-A field opens with a quote right after a separator (and, with `trim`, blanks); a quote inside another
+A field that no quote closes ends with the file, without the file's last line break.  A field opens
+with a quote right after a separator (and, with `trim`, blanks); a quote inside another
 field is text; what follows a closing quote up to the separator belongs to the field.
 """
 
@@ -162,5 +163,6 @@ def csv_records(spark: SparkSession, paths: str | list[str], *, header: bool = T
     ).select("file", "first", "value")
     every = whole.unionByName(joined).filter((F.col("value") != "") & (F.col("value") != "\r"))
     kept = every.filter(~F.col("first")) if header else every
-    # A carriage return before the line break that ends a record is part of that break.
-    return kept.select("file", F.regexp_replace("value", "\r$", "").alias("value"))
+    # A file whose lines end with a carriage return has such breaks inside its fields too.
+    windows = F.regexp_replace(F.regexp_replace("value", "\r\n", "\n"), "\r$", "")
+    return kept.select("file", F.when(F.endswith("value", F.lit("\r")), windows).otherwise(F.col("value")).alias("value"))

@@ -1,5 +1,5 @@
 import datetime as dt
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, getcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +82,21 @@ def test_ratio_guards_zero_and_rounds_half_up(spark):
     assert got == [Decimal("0.13"), None, None, None]
 
 
+def test_ratio_of_wide_operands(spark):
+    """One path whatever the size: 10^13 and more, and seven decimals."""
+    getcontext().prec = 50
+    pairs = [
+        ("10000000000000", "3"), ("12345678901234567.89", "7"), ("1", "30000000000000"), ("0.0000001", "3"),
+        ("10000000000000.0000005", "0.0000007"), ("2.0000049", "4"), ("99", "0.0000003"),
+    ]
+    df = spark.createDataFrame([(Decimal(n), Decimal(d)) for n, d in pairs], "n decimal(38,7), d decimal(38,7)")
+    got = [r[0] for r in df.select(half_up_ratio(F.col("n"), F.col("d"), 8, operands="decimal(26,8)")).collect()]
+    half = [(Decimal(n) / Decimal(d)).quantize(Decimal("1e-8"), ROUND_HALF_UP) for n, d in pairs]
+    assert got == half
+    beyond = spark.createDataFrame([(Decimal(10) ** 20, Decimal(3))], "n decimal(38,7), d decimal(38,7)")
+    assert beyond.select(half_up_ratio(F.col("n"), F.col("d"), 2, operands="decimal(26,8)")).first()[0] is None
+
+
 @pytest.mark.parametrize("unknown, last", [(None, "80%+ (saturated)"), ("unknown", "unknown")])
 def test_tiers(spark, unknown, last):
     rates = [0.0, 19.99, 20.0, 40.0, 60.0, 79.99, 80.0, None]
