@@ -12,9 +12,10 @@ Vectors with a component of 131,072 or more either way stay out of the bitmaps,
 make many: they are candidates of every query, and as queries they meet every row.  Scores are
 computed as longs where no sum can exceed one, else as integers of any size.
 
-Defined cases: vectors that are null, empty, or hold null or non-finite components take no part;
-a score among the k best that exceeds a long is an error; of repeated vec_ids the least vector
-stands; rows without vec_id take no part; queries meet vectors of their own length only; an empty
+Defined cases: vectors that are null, or hold null or non-finite components, take no part; empty
+vectors score zero with each other; a score among the k best that exceeds a long is an error; rows
+that repeat a vec_id are all candidates, but of queries with another id, and are each answered as
+queries; rows without vec_id take no part; queries meet vectors of their own length only; an empty
 table gives no rows; other columns are not read.
 """
 
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from star_marts.llm.vector_blocks import Arrays, best_of, distinct_vectors, search
+from star_marts.llm.vector_blocks import Arrays, best_of, known_vectors, search
 
 K = 5
 SCALE = 256  # fixed value of the quantisation
@@ -57,7 +58,7 @@ def products(values: np.ndarray, vector: np.ndarray) -> np.ndarray:
 def build(ids: np.ndarray, x: np.ndarray) -> Arrays:
     """Slices [attribute and its complement, bit, word] of the attributes above their least value,
     and apart from them the rows that are too large, as they are."""
-    small = (np.abs(x) < LARGEST // SCALE).all(axis=1)
+    small = (np.abs(x) < LARGEST // SCALE).all(axis=1) & (x.shape[1] > 0)
     large_ids, large = ids[~small], x[~small]
     ids, values = ids[small], quantised(x[small])
     if not len(ids):
@@ -130,7 +131,7 @@ def candidates(slices: list[np.ndarray], rows: np.ndarray, k: int, slack: int) -
 
 
 def _reaching(block: Arrays, rows: np.ndarray, vector: np.ndarray, k: int) -> np.ndarray:
-    """Places of the rows in the bitmaps that may be among the k + 1 best for a query."""
+    """Places of the rows in the bitmaps that may be among the k best besides the query's own."""
     slices, count = block["slices"], len(block["ids"])
     bits, words = slices.shape[2], slices.shape[3]
     size, side = np.abs(vector), (vector < 0).astype(np.intp)
@@ -146,8 +147,9 @@ def _reaching(block: Arrays, rows: np.ndarray, vector: np.ndarray, k: int) -> np
         columns.append(np.concatenate(maps) if maps else np.empty((0, words), np.uint64))
     empty = np.zeros(words, np.uint64)
     sums = [empty if s is None else s for s in add_columns(columns)]
-    # Sums count in units of 2^_LEFT_OUT; one row more is asked for, as one may be the query's own.
-    kept = candidates(sums, rows, min(k + 1, count), -(-slack >> _LEFT_OUT) + 1)
+    # Sums count in units of 2^_LEFT_OUT; more rows are asked for, by as many as may be the query's own.
+    repeats = int(np.unique(block["ids"], return_counts=True)[1].max())
+    kept = candidates(sums, rows, min(k + repeats, count), -(-slack >> _LEFT_OUT) + 1)
     return np.flatnonzero(np.unpackbits(kept.view(np.uint8), bitorder="little"))
 
 
@@ -164,7 +166,7 @@ def probe(block: Arrays, ids: np.ndarray, x: np.ndarray, k: int = K) -> tuple[np
     out: list[tuple[int, np.ndarray, np.ndarray]] = []
     for i, q in enumerate(ids):
         vector = quantised(x[i])
-        if count and np.abs(x[i]).max() < LARGEST // SCALE:
+        if count and np.abs(x[i]).max(initial=0) < LARGEST // SCALE:
             at = _reaching(block, rows, vector, k)
         else:
             at = np.arange(count)
@@ -197,28 +199,24 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.intp)
 
 
-def usable(rows: DataFrame) -> DataFrame:
-    return distinct_vectors(rows).filter(F.size("vector") > 0)
-
-
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score for vectors and queries of (vec_id, embedding)."""
 
     def best(block: Arrays, ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return probe(block, ids, x, k)
 
-    found = search(usable(rows), usable(queries), k, build, best, "long")
+    found = search(known_vectors(rows), known_vectors(queries), k, build, best, "long")
     too_small = F.raise_error(F.lit(TOO_LARGE)).cast("long")
     return found.withColumn("vec_id", F.coalesce("vec_id", too_small))
 
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, coalesce(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -13,8 +13,9 @@ and have one score.  Ties go to the smaller vec_id, in a shard as between shards
 products are too near the k-th best to tell, they are computed again, each in the same way.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
-part; of repeated vec_ids the least vector stands; rows without vec_id take no part; queries meet
-vectors of their own length only; an empty table gives no rows; other columns are not read.
+part; rows that repeat a vec_id are all candidates, but of queries with another id, and are each
+answered as queries; rows without vec_id take no part; queries meet vectors of their own length
+only; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from star_marts.llm.vector_blocks import Arrays, best_of, distinct_vectors, search
+from star_marts.llm.vector_blocks import Arrays, best_of, known_vectors, search
 
 K = 20
 QUERY_EVERY = 20
@@ -83,7 +84,13 @@ def probe(
     rows, row_ids, ends, spans = block["x"], block["ids"], block["ends"], block["spans"]
     vantage, radius, children = block["vantage"], block["radius"], block["children"]
     starts = np.append(0, ends[:-1])
-    least, single = row_ids[starts], ends - starts == 1
+    # Of a vector's ids the least, whether it is the only one, and the next one where it is not.
+    least, single = row_ids[starts], row_ids[starts] == row_ids[ends - 1]
+    repeats = int(np.unique(row_ids, return_counts=True)[1].max())
+    beyond = [starts + np.minimum(r, ends - starts - 1) for r in range(1, repeats + 1)]
+    next_ = row_ids[ends - 1].copy()
+    for place in reversed(beyond):
+        next_ = np.where(row_ids[place] != least, row_ids[place], next_)
     lengths = np.einsum("ij,ij->i", q, q) + float(block["most"])
     dims = q.shape[1]
     # What rounding can change in a product, and in a distance that is its root.
@@ -97,7 +104,7 @@ def probe(
 
     def least_other(at: np.ndarray, own: int) -> np.ndarray:
         """The smallest id of each vector that is not the query's own."""
-        return np.where(least[at] == own, row_ids[np.minimum(starts[at] + 1, len(row_ids) - 1)], least[at])
+        return np.where(least[at] == own, next_[at], least[at])
 
     def visit(node: int, some: np.ndarray) -> None:
         if not len(some):
@@ -138,8 +145,8 @@ def probe(
     for i in range(len(q)):
         at = places[i][(places[i] >= 0) & np.isfinite(best[i])]
         scores = (rows[at] * q[i]).sum(axis=1)
-        # Of a vector's ids the k smallest; one more, as one may be the query's own.
-        taken = [row_ids[starts[a] : min(ends[a], starts[a] + k + 1)] for a in at]
+        # Of a vector's ids the k smallest; more by as many as may be the query's own.
+        taken = [row_ids[starts[a] : min(ends[a], starts[a] + k + repeats)] for a in at]
         scores = np.repeat(scores, [len(t) for t in taken])
         found = np.concatenate([*taken, np.zeros(0, row_ids.dtype)])
         scores, found = scores[found != ids[i]], found[found != ids[i]]
@@ -149,7 +156,7 @@ def probe(
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    return distinct_vectors(rows).filter(F.exists("vector", lambda x: x != 0))
+    return known_vectors(rows.filter(F.exists(F.col("embedding").cast("array<double>"), lambda x: x != 0)))
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR) -> DataFrame:

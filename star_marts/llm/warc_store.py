@@ -3,7 +3,7 @@
 Three tables: `headers` has one row per record with the exact header bytes, `blobs` has each
 distinct payload once under its SHA-256, with its number of records, and `records()` joins them to the original bytes.  The
 digest is verified where payloads meet: a blob is found by SHA-256, SHA-1 and length together,
-and reading recomputes both digests from the stored bytes.
+and reading takes the rebuilt bytes apart and recomputes both digests and the length from them.
 
 Of records with equal payloads of at least 1000 bytes the one with the largest page_id is a
 response, the others revisit it; shorter payloads are all responses.
@@ -24,6 +24,7 @@ from star_marts.session import scratch_path, stage
 
 LEAST_REVISIT = 1000
 DATE = "1970-01-01T00:00:00Z"  # pages carry no date
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
 _END = "\r\n"
 CONTENT = ["sha256", "sha1", "length"]  # what a payload is found by
 
@@ -51,6 +52,7 @@ def _header(kind: Column) -> Column:
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", "[\r\n]", "")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("sha1")),
         F.when(kind == "revisit", F.concat(F.lit("WARC-Refers-To: "), record("refers_to"))),
+        F.when(kind == "revisit", F.lit(f"WARC-Profile: {PROFILE}")),
         F.lit("Content-Type: text/html; charset=utf-8"),
         F.concat(F.lit("Content-Length: "), F.col("length").cast("string")),
         F.lit(_END),
@@ -90,28 +92,38 @@ def _repeated_pages(index: DataFrame) -> bool:
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """header, payload and the whole record's bytes, joined from the archive."""
+    """header, payload, the bytes of the whole record, and the digest the payload is stored under."""
     headers = spark.read.parquet(f"{path}/headers")
     blobs = spark.read.parquet(f"{path}/blobs")
     joined = spread_join(headers, blobs, CONTENT, "copies", ["header"])
     record = F.concat("header", "payload", F.encode(F.lit(_END * 2), "UTF-8"))
-    return joined.select("header", "payload", record.alias("record"))
+    return joined.select("header", "payload", record.alias("record"), "sha256")
 
 
 def parse(archived: DataFrame) -> DataFrame:
     """Read records back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Length and digest are those of the payload that was read; a record whose header says
-    otherwise is an error.
+    The header ends at the first empty line, the payload follows it.  Length and digests are those
+    of the payload that was read; a record whose header, length or stored SHA-256 says otherwise is
+    an error.
     """
-    text = F.decode("header", "UTF-8")
-    field = lambda pattern: F.regexp_extract(text, "(?m)^" + pattern, 1)
+    # One character per byte, so that positions are those of bytes.
+    ends = archived.withColumn("_end", F.instr(F.decode("record", "ISO-8859-1"), _END * 2))
+    parts = ends.select(
+        F.decode(F.substring("record", F.lit(1), F.col("_end") + 1), "UTF-8").alias("text"),
+        F.substring("record", F.col("_end") + 4, F.octet_length("record") - F.col("_end") - 7).alias("payload"),
+        "sha256",
+    )
+    # (?d): only a line feed ends a line, not what a url may hold beside it.
+    field = lambda pattern: F.regexp_extract("text", "(?md)^" + pattern, 1)
     number = lambda s: F.when(s != "", s.cast("long"))
     digest, size = F.sha1("payload"), F.octet_length("payload").cast("long")
-    intact = (field("WARC-Payload-Digest: sha1:([0-9a-f]{40})") == digest) & (
-        number(field("Content-Length: ([0-9]+)")) == size
+    intact = (
+        (field("WARC-Payload-Digest: sha1:([0-9a-f]{40})") == digest)
+        & (number(field("Content-Length: ([0-9]+)")) == size)
+        & (F.sha2("payload", 256) == F.col("sha256"))
     )
-    return archived.select(
+    return parts.select(
         number(field("WARC-Record-ID: <urn:page:(-?[0-9]*)>")).alias("page_id"),
         size.alias("payload_bytes"),
         F.when(intact, digest).otherwise(F.raise_error(F.lit("a record differs from its header"))).alias("payload_digest"),

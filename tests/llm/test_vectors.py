@@ -17,20 +17,22 @@ def table(seed, n, dims, scale=1.0):
 ODD = [
     (900, None), (901, [1.0, None, 0.0, 0.0]), (902, [math.nan, 0.0, 0.0, 0.0]), (903, [math.inf, 0.0, 0.0, 0.0]),
     (904, []), (905, [1.0, 2.0]), (910, [3.0, 1.0]), (None, [1.0, 1.0, 1.0, 1.0]), (3, [-9.0, 0.0, 0.0, 0.0]),
-    (3, [-9.0, 0.0, 0.0, 0.0]),
+    (3, [-9.0, 0.0, 0.0, 0.0]), (911, []), (917, []), (7, [2.0, 1.0, 0.0, 0.5]), (7, [2.0, 1.0, 0.0, 0.5]), (7, [-1.0, 2.0, 2.0, 0.5]),
 ]
 
 
 def expected(rows, queries, k, score, usable):
-    known = {}
-    for i, x in rows:
-        if i is not None and x and all(v is not None and math.isfinite(v) for v in x) and usable(x):
-            known[i] = min(known.get(i, x), x)
+    """Rows that repeat an id count each, but not for queries of their id."""
+    known = [
+        (i, x) for i, x in rows
+        if i is not None and x is not None and all(v is not None and math.isfinite(v) for v in x) and usable(x)
+    ]
     out = []
-    for q in sorted(set(queries) & set(known)):
-        near = [(-score(known[q], x), i) for i, x in known.items() if i != q and len(x) == len(known[q])]
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(near)[:k], 1)]
-    return out
+    for q, vector in known:
+        if q in queries:
+            near = [(-score(vector, x), i) for i, x in known if i != q and len(x) == len(vector)]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(near)[:k], 1)]
+    return sorted(out)
 
 
 def frame(spark, rows):
@@ -49,11 +51,41 @@ def test_top_k_is_exact(spark, monkeypatch, scale):
     assert sorted(tuple(r) for r in got) == expected(rows, ids, 5, whole, lambda x: True)
 
 
-def test_too_large_components_take_no_part(spark):
+def test_too_large_components_for_the_bitmaps_take_part(spark):
     docs = frame(spark, [(0, [1e6]), (1, [1.0]), (2, [2.0])])
-    assert [tuple(r) for r in bit_sliced_topk.top_k(docs, docs).orderBy("query_id").collect()] == [
-        (1, 1, 2, 256 * 512), (2, 1, 1, 256 * 512)
+    large = 256 * 10**6
+    assert [tuple(r) for r in bit_sliced_topk.top_k(docs, docs).orderBy("query_id", "rank").collect()] == [
+        (0, 1, 2, large * 512), (0, 2, 1, large * 256), (1, 1, 0, 256 * large), (1, 2, 2, 256 * 512),
+        (2, 1, 0, 512 * large), (2, 2, 1, 512 * 256),
+    ]
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    docs = frame(spark, [(0, [1.0]), (1, [2.0]), (1, [5.0]), (1, [2.0]), (2, [1.0])])
+    asked = docs.filter("vec_id = 0")
+    assert [tuple(r) for r in bit_sliced_topk.top_k(docs, asked).orderBy("rank").collect()] == [
+        (0, 1, 1, 256 * 1280), (0, 2, 1, 256 * 512), (0, 3, 1, 256 * 512), (0, 4, 2, 256 * 256)
     ]
+    assert [tuple(r) for r in vantage_points.nearest(docs, asked).orderBy("rank").collect()] == [
+        (0, 1, 1, 5.0), (0, 2, 1, 2.0), (0, 3, 1, 2.0), (0, 4, 2, 1.0)
+    ]
+
+
+@pytest.mark.parametrize("copies", [3, 60])
+def test_copies_under_repeated_ids(copies):
+    """A group of equal vectors in which the query's own id occurs many times."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([np.repeat(rng.normal(size=(1, 4)), 2 * copies, axis=0), rng.normal(size=(700, 4))])
+    ids = np.concatenate([np.repeat(5, copies), np.arange(copies) % 9 + 3, np.arange(100, 800)])
+    order = np.argsort(ids, kind="stable")
+    block = vantage_points.build(ids[order], x[order])
+    for q, vector in ((5, x[0]), (3, x[0]), (150, x[2 * copies + 50])):
+        _, found, scores = vantage_points.probe(block, np.array([q]), vector[None], factor=1.0)
+        other = ids != q
+        products = (x[other] * vector).sum(axis=1)
+        best = np.lexsort((ids[other], -products))[: vantage_points.K]
+        assert list(found) == list(ids[other][best])
+        assert np.allclose(scores, products[best])
 
 
 def test_large_components_take_part(spark):

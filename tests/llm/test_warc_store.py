@@ -56,6 +56,26 @@ def test_payloads_are_stored_once_and_records_are_exact(spark, rows):
 def test_a_changed_payload_is_an_error(spark):
     path = scratch_path(spark, "warc-test")
     m.write_archive(frame(spark, [(1, "u", "some text")]), path)
-    changed = m.records(spark, path).selectExpr("header", "CAST('other text' AS binary) AS payload")
-    with pytest.raises(Exception, match="differs from its header"):
-        m.parse(changed).collect()
+    found = m.records(spark, path)
+    assert m.parse(found).count() == 1
+    for record, sha256 in (
+        ("CAST(replace(string(record), 'some text', 'Some text') AS binary) AS record", "sha256"),
+        ("CAST(replace(string(record), 'some text', 'some') AS binary) AS record", "sha256"),
+        ("record", "sha2('other', 256) AS sha256"),
+    ):
+        with pytest.raises(Exception, match="differs from its header"):
+            m.parse(found.selectExpr(record, sha256)).collect()
+
+
+@pytest.mark.parametrize("end", ["\x85", "\u2028", "\u2029", "\x0b", "\x0c", "\n", "\r", "\r\n"])
+def test_a_url_cannot_add_header_lines(spark, end):
+    lie = f"http://a{end}WARC-Refers-To: <urn:page:77>{end}WARC-Payload-Digest: sha1:{'0' * 40}{end}Content-Length: 3"
+    rows = [(1, lie, "short"), (2, lie, LONG), (3, "u", LONG), (4, "u", "a\r\n\r\nWARC-Type: revisit" + LONG)]
+    assert sorted(str(tuple(r)) for r in m.archive_round_trip(frame(spark, rows)).collect()) == plain(rows)
+
+
+def test_revisits_name_their_profile(spark):
+    path = scratch_path(spark, "warc-test")
+    m.write_archive(frame(spark, [(1, "u", LONG), (2, "v", LONG)]), path)
+    headers = {bytes(r.header).decode() for r in m.records(spark, path).collect()}
+    assert {("WARC-Type: revisit" in h, f"WARC-Profile: {m.PROFILE}" in h) for h in headers} == {(True, True), (False, False)}
