@@ -1,9 +1,10 @@
 """Substring dedup over sliding sentence spans.
 
 A sentence ends with . ! or ? before a blank, or with a line break; the blanks after it belong to
-it, so that sentences joined are the text.  Spans are every run of `RUN` consecutive sentences,
-and every single sentence of `LONG_WORDS` words or more, which is as long as several ordinary ones.  Spans are equal if their sentences are, blanks around sentences aside.  The first place of a span is the
-least (doc_id, text digest, position); sentences under any other place of it are removed.
+it, so that sentences joined are the text.  Spans are every run of `RUN` consecutive sentences that
+has `LEAST_WORDS` words or more; longer repeated passages are covered by their runs.  Spans are equal
+if their sentences are, blanks around sentences aside.  The first place of a span is the least
+(doc_id, text digest, position); sentences under any other place of it are removed.
 
 Places are found by a 64-bit hash, and told apart by a further 32 bits and the span's length.
 
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from star_marts.llm.common import WORD, let, spread_join, whole_text
 from star_marts.session import stage
 
-RUN = 3
-LONG_WORDS = 25
+RUN = 2
+LEAST_WORDS = 10
 _BLANKS = " \t\n\x0b\f\r"
 SENTENCE = r"""(?s).*?(?:[.!?]["')\]]*[ \t\n\x0B\f\r]+|\n[ \t\n\x0B\f\r]*|\z)"""
 
@@ -32,9 +33,12 @@ def sentences(text: Column) -> Column:
     return F.filter(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), lambda s: s != "")
 
 
-def _spans(text: Column, run: int, long_words: int) -> Column:
+def _spans(text: Column, run: int, least_words: int) -> Column:
     """Array of (pos, len, h, more) of every span."""
-    trimmed = F.transform(sentences(text), lambda s: F.btrim(s, F.lit(_BLANKS)))
+    trimmed = F.transform(
+        sentences(text),
+        lambda s: F.struct(F.btrim(s, F.lit(_BLANKS)).alias("s"), F.regexp_count(s, F.lit(WORD)).alias("n")),
+    )
 
     def span(pos: Column, length: int, key: Column) -> Column:
         return F.struct(
@@ -43,28 +47,23 @@ def _spans(text: Column, run: int, long_words: int) -> Column:
         )
 
     def all_spans(t: Column) -> Column:
+        some = lambda i: F.slice(t, i, F.lit(run))
+        words = lambda i: F.aggregate(some(i), F.lit(0), lambda n, x: n + x["n"])
+        starts = F.filter(F.sequence(F.lit(1), F.size(t) - run + 1), lambda i: words(i) >= least_words)
         runs = F.transform(
-            F.sequence(F.lit(1), F.size(t) - run + 1),
-            lambda i: span(i - 1, run, F.array_join(F.slice(t, i, F.lit(run)), "\n")),
-        )
-        long = F.transform(
-            F.filter(
-                F.transform(t, lambda s, i: F.struct(i.alias("i"), s.alias("s"))),
-                lambda x: F.regexp_count(x["s"], F.lit(WORD)) >= long_words,
-            ),
-            lambda x: span(x["i"], 1, x["s"]),
+            starts, lambda i: span(i - 1, run, F.array_join(F.transform(some(i), lambda x: x["s"]), "\n"))
         )
-        return F.when(F.size(t) >= run, F.concat(runs, long)).otherwise(long)
+        return F.when(F.size(t) >= run, runs)
 
     return let(trimmed, all_spans)
 
 
-def removed_sentences(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS) -> DataFrame:
+def removed_sentences(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, digest and `removed`, the positions under a span that is not the first, for
     documents that have any."""
     text = whole_text()
     spans = docs.select(
-        F.col("doc_id"), F.xxhash64(text).alias("digest"), F.inline(_spans(text, run, long_words))
+        F.col("doc_id"), F.xxhash64(text).alias("digest"), F.inline(_spans(text, run, least_words))
     )
     # Most spans occur once.  A bare count of their hashes finds the others.
     repeated = stage(
@@ -82,9 +81,9 @@ def removed_sentences(docs: DataFrame, run: int = RUN, long_words: int = LONG_WO
     ).groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set("at")).alias("removed"))
 
 
-def without_repeats(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
     """`docs` with the text that remains, and the counts n_sentences and n_removed."""
-    found = stage(removed_sentences(docs, run, long_words), "removed")
+    found = stage(removed_sentences(docs, run, least_words), "removed")
     text = docs["text"]
     some = F.coalesce(text, F.lit(""))
     same = docs["doc_id"].eqNullSafe(found["doc_id"]) & (F.xxhash64(some) == found["digest"])
@@ -104,13 +103,12 @@ WITH pieces AS (
   SELECT doc_id, text, [x FOR x IN regexp_extract_all(coalesce(text, ''), '(?s).*?(?:[.!?]["'')\]]*[ \t\n\x0B\f\r]+|\n[ \t\n\x0B\f\r]*|\z)') IF x <> ''] AS s
   FROM documents),
 sentence AS (
-  SELECT doc_id, i - 1 AS pos, s[i] AS raw, trim(s[i], e' \t\n\x0b\f\r') AS t
+  SELECT doc_id, i - 1 AS pos, s[i] AS raw, trim(s[i], e' \t\n\x0b\f\r') AS t,
+    len(regexp_extract_all(s[i], '[^\x20\x09-\x0D]+')) AS words
   FROM (SELECT doc_id, s, unnest(generate_series(1, len(s))) AS i FROM pieces)),
 span AS (
-  SELECT a.doc_id, a.pos, 3 AS len, a.t || chr(10) || b.t || chr(10) || c.t AS key
-  FROM sentence a JOIN sentence b ON b.doc_id = a.doc_id AND b.pos = a.pos + 1 JOIN sentence c ON c.doc_id = a.doc_id AND c.pos = a.pos + 2
-  UNION ALL
-  SELECT doc_id, pos, 1, t FROM sentence WHERE len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) >= 25),
+  SELECT a.doc_id, a.pos, 2 AS len, a.t || chr(10) || b.t AS key
+  FROM sentence a JOIN sentence b ON b.doc_id = a.doc_id AND b.pos = a.pos + 1 WHERE a.words + b.words >= 10),
 placed AS (SELECT *, row_number() OVER (PARTITION BY len, key ORDER BY doc_id, pos) AS nth FROM span),
 gone AS (
   SELECT DISTINCT doc_id, pos + k AS pos FROM (SELECT doc_id, pos, unnest(generate_series(0, len - 1)) AS k FROM placed WHERE nth > 1))

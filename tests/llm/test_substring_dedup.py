@@ -11,14 +11,17 @@ def pieces(text):
     return [p for p in PIECE.findall(text) if p]
 
 
-def plain(rows, run=m.RUN, long_words=m.LONG_WORDS):
+def plain(rows, run=m.RUN, least_words=m.LEAST_WORDS):
     """{(doc_id, text): (kept text, sentences, removed)} by looking every span up."""
     places = {}
     cut = {key: pieces(key[1] or "") for key in set(rows)}
     for (doc_id, text), parts in cut.items():
         trimmed = [p.strip(BLANKS) for p in parts]
-        spans = [(i, run, "\n".join(trimmed[i : i + run])) for i in range(len(parts) - run + 1)]
-        spans += [(i, 1, t) for i, t in enumerate(trimmed) if len(re.findall(r"[^\x20\x09-\x0D]+", t)) >= long_words]
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in trimmed]
+        spans = [
+            (i, run, "\n".join(trimmed[i : i + run]))
+            for i in range(len(parts) - run + 1) if sum(words[i : i + run]) >= least_words
+        ]
         for i, n, key in spans:
             places.setdefault((n, key), []).append((doc_id is not None, doc_id or 0, text, i))
     gone = {key: set() for key in cut}
@@ -41,6 +44,8 @@ def test_documents(spark):
         if i % 2:
             parts.insert(rng.randrange(len(parts) + 1), rng.choice(shared))
         rows.append((i, "".join(parts)))
+    rows += [(108, "Own start. " + " ".join("ab" * 9) + ". " + " ".join("cd" * 10) + ". Own end."),
+             (109, "Other. " + " ".join("ab" * 9) + ". " + " ".join("cd" * 10) + ". Last."), (110, " ".join(f"w{i}" for i in range(40)) + ". ")]
     rows += [(100, rows[11][1]), (101, rows[11][1]), (102, ""), (103, None), (104, "a. " * 7), (105, "no end"), (5, rows[5][1])]
     rows += [(106, "1. 2. 3. 4. " * 400), (None, "x. y. z."), (107, "x.  y.\nz.")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "doc_id AS digest", "9 AS removed", "7 AS n_removed")
@@ -51,3 +56,11 @@ def test_documents(spark):
     assert out == sorted(str((i, *want[i, t])) for i, t in rows)
     assert sum(w[2] > 0 for w in want.values()) > 20
     assert m.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_two_long_sentences_are_a_run_and_one_is_none(spark):
+    pair = "one two three four five six seven. eight nine ten eleven twelve. "
+    alone = " ".join(f"w{i}" for i in range(40)) + "."
+    docs = spark.createDataFrame([(1, "A. " + pair), (2, "B. " + pair + "C."), (3, "D. " + alone), (4, "E. " + alone)], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in m.without_repeats(docs).collect()}
+    assert got == {1: ("A. " + pair, 0), 2: ("B. C.", 2), 3: ("D. " + alone, 0), 4: ("E. " + alone, 0)}
