@@ -39,7 +39,7 @@ def test_documents(spark):
     sentence = lambda: " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(1, 9))) + rng.choice([". ", "! ", "?\n", "\n\n", '."  '])
     shared = ["".join(sentence() for _ in range(5)) for _ in range(6)] + [" ".join(f"w{i}" for i in range(40)) + ". "]
     rows = []
-    for i in range(60):
+    for i in range(90):
         parts = [sentence() for _ in range(rng.randint(0, 12))]
         if i % 2:
             parts.insert(rng.randrange(len(parts) + 1), rng.choice(shared))
