@@ -125,12 +125,13 @@ def _null_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
 def land(
     spark: SparkSession, path: str | list[str], schema: T.StructType, *,
     typed: T.StructType | None = None, folder: str | None = None, header: bool = True,
-    multiline: bool = False, trim: bool = False, null_tokens: Sequence[str] = (),
+    multiline: bool = False, trim: bool = False, null_tokens: Sequence[str] = (), keep_text: bool = True,
 ) -> Landing:
     """Parse files once, by position, and store every row with its verdict in `folder`.
 
     `schema` names the columns; `typed` is what their values are cast to.  Rows of another width are
-    malformed.  Without a folder the rows go to the scratch folder.
+    malformed.  Without a folder the rows go to the scratch folder.  Rows whose values all cast are
+    stored without their text if `keep_text` is off; `text` has only NULLs for them then.
     """
     names = schema.fieldNames()
     if multiline:
@@ -152,7 +153,8 @@ def land(
         rows, bad = _cast(rows, typed)
         cast = [F.when(~broken & (bad == ""), F.col("_typed")).alias("typed")]
         reason = F.when(broken, F.lit("malformed row")).when(bad != "", F.concat(F.lit("bad "), bad))
-    judged = rows.select(*names, F.col(_CORRUPT).alias("raw_record"), reason.alias("reason"), *cast)
+    fields = names if keep_text else [F.when(reason.isNotNull(), F.col(n)).alias(n) for n in names]
+    judged = rows.select(*fields, F.col(_CORRUPT).alias("raw_record"), reason.alias("reason"), *cast)
     verdict = F.when(F.col("reason").isNull(), LOADED).when(F.col("raw_record").isNull(), MISTYPED).otherwise(MALFORMED)
     seen = Observation()
     counted = judged.withColumn(VERDICT, verdict).observe(
@@ -177,7 +179,7 @@ def read_typed(
     spark: SparkSession, path: str | list[str], schema: T.StructType, **options
 ) -> Landed:
     """Read by position and cast; a row with a value that does not cast is rejected."""
-    landing = land(spark, path, schema, typed=schema, **options)
+    landing = land(spark, path, schema, typed=schema, keep_text=False, **options)
     return Landed(landing.typed, landing.mistyped.unionByName(landing.malformed))
 
 
