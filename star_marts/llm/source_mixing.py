@@ -1,13 +1,15 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
-Sizes are words.  A source's documents are dealt to shards of about `shard_words` words, a shard
+Sizes are words.  A source's rows are dealt to shards of about `shard_words` words by a hash of
+doc_id, text and a number among equal rows, so that no repeated id or text fills a shard.  A shard
 is cut into blocks of equal length, and whole numbers of blocks are allotted first to sources and
 then to the shards of a source, each time by the highest quotients weight / (2k - 1).  A shard
 allotted q of its n blocks takes every block q div n times and q mod n of them, chosen by a seeded
 order, once more.  DataFrame operations only.
 
 Defined cases: a null text has size 0 and takes 0; a null source is a source of its own, the last;
-repeated rows are dealt separately; a null doc_id is dealt like an empty one; an empty table gives
+repeated rows are numbered and dealt separately, and as they are alike it does not matter which
+gets what; a null doc_id is hashed like an empty one; an empty table gives
 no rows; columns other than doc_id, text and source are not read by `mix`.
 """
 
@@ -25,14 +27,34 @@ CAP = 3  # a source or document is taken at most this often
 MOST_BLOCK_WORDS = 256
 BLOCKS_PER_SOURCE = 1024  # on average, before blocks reach their full length
 SHARD_WORDS = 1 << 20
+_NUMBERS = 4096  # of equal rows, made at once
+
+
+def _digest(text: Column) -> Column:
+    """60 bits of the text's MD5, which other engines can compute too."""
+    return F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("long")
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and a digest of the text."""
-    return docs.select(
+    """doc_id, source, size, a digest of the text and a number among rows equal in all of these.
+
+    Equal rows are counted, map-side first, and the count is unfolded again: no task sorts them.
+    Many equal rows are unfolded by many tasks.
+    """
+    rows = docs.select(
         "doc_id", "source", F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size"),
-        F.xxhash64(whole_text()).alias("digest"),
+        _digest(F.col("text")).alias("digest"),
+    )
+    counted = rows.groupBy("doc_id", "source", "size", "digest").agg((F.count("*") - 1).alias("last"))
+    zero = F.lit(0).cast("long")
+    few = counted.filter(F.col("last") < _NUMBERS).withColumn("number", F.explode(F.sequence(zero, "last")))
+    starts = F.sequence(zero, F.col("last"), F.lit(_NUMBERS).cast("long"))
+    many = counted.filter(F.col("last") >= _NUMBERS).withColumn("first", F.explode(starts)).repartition(
+        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "digest", "first"
     )
+    end = F.least(F.col("last"), F.col("first") + _NUMBERS - 1)
+    many = many.withColumn("number", F.explode(F.sequence("first", end))).drop("first")
+    return few.unionByName(many).drop("last")
 
 
 def source_targets(sized: DataFrame, cap: int = CAP) -> DataFrame:
@@ -132,6 +154,15 @@ def _hashed(*parts: Column) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
+def _row() -> list[Column]:
+    return [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("digest"), F.col("number")]
+
+
+def shard_of(shards: Column) -> Column:
+    """Shard of a row of `sizes`, of so many."""
+    return F.pmod(F.conv(F.substring(_hashed(*_row()), 1, 8), 16, 10).cast("long"), shards)
+
+
 def block_picks(sized: DataFrame, seed: str = SEED, cap: int = CAP, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The rows of `sizes` with source_size, target and picks.
 
@@ -153,14 +184,9 @@ def block_picks(sized: DataFrame, seed: str = SEED, cap: int = CAP, shard_words:
     )
     # `targets` has a row per source; whether that is small enough to broadcast is left to the optimizer.
     same = sized["source"].eqNullSafe(targets["source"])
-    bucket = F.pmod(
-        F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10)
-        .cast("long"),
-        F.col("shards"),
-    )
     dealt = sized.join(targets, same).select(
-        sized["doc_id"], sized["source"], "size", "digest", "source_size", "target", "rank",
-        "block_words", bucket.alias("shard"),
+        sized["doc_id"], sized["source"], "size", "digest", "number", "source_size", "target", "rank",
+        "block_words", shard_of(F.col("shards")).alias("shard"),
     )
     shard = dealt.groupBy("rank", "shard").agg(
         F.sum("size").alias("words"), F.first("target").alias("target"),
@@ -184,9 +210,7 @@ def block_picks(sized: DataFrame, seed: str = SEED, cap: int = CAP, shard_words:
     )
 
     in_shard = Window.partitionBy("rank", "shard")
-    by_hash = in_shard.orderBy(
-        _hashed(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "doc_id", "size", "digest"
-    )
+    by_hash = in_shard.orderBy(_hashed(F.lit(seed), *_row()), "doc_id", "size", "digest", "number")
     placed = dealt.withColumn("row", F.row_number().over(by_hash)).withColumn(
         "end", F.sum("size").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("start", F.col("end") - F.col("size"))
@@ -262,7 +286,7 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
         docs = docs.dropDuplicates(["doc_id", "text"])
     source = docs["text"]
     same = docs["doc_id"].eqNullSafe(once["doc_id"])
-    same = same & (F.xxhash64(F.coalesce(source, F.lit(""))) == once["digest"])
+    same = same & (_digest(source) == once["digest"])
     picks = once["picks"]
     times = F.array_max(F.transform(picks, lambda p: p["times"]))
     whole = let(times, lambda most: F.forall(picks, lambda p: p["times"] == most)) & (
@@ -285,7 +309,11 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
 #: The same by DuckDB: quotients are all generated and ranked.
 ORACLE_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+  SELECT *, concat_ws(':', coalesce(doc_id::VARCHAR, ''), digest,
+    row_number() OVER (PARTITION BY doc_id, source, size, digest) - 1) AS id
+  FROM (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+      ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS digest FROM documents)),
 ranked AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
   FROM sized GROUP BY source),
@@ -301,7 +329,7 @@ targets AS (
     greatest(1, ceil(source_size / 1048576))::BIGINT AS shards
   FROM filled f, final),
 dealt AS (
-  SELECT s.doc_id, s.size, t.*, ('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '')), 1, 8))::BIGINT % t.shards AS shard
+  SELECT s.doc_id, s.size, s.id, t.*, ('0x' || substr(md5(s.id), 1, 8))::BIGINT % t.shards AS shard
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 shard AS (
   SELECT rank, shard, sum(size)::BIGINT AS words, greatest(1, round(sum(size) / any_value(block_words)))::BIGINT AS blocks,
@@ -323,7 +351,7 @@ placed AS (
   SELECT d.doc_id, d.size, d.source_size, d.target, d.rank, d.shard, q.words, q.blocks, q.quota,
     row_number() OVER w AS nth, sum(d.size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop
   FROM dealt d LEFT JOIN shard_quota q USING (rank, shard)
-  WINDOW w AS (PARTITION BY d.rank, d.shard ORDER BY md5('7:' || coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size)),
+  WINDOW w AS (PARTITION BY d.rank, d.shard ORDER BY md5('7:' || d.id), d.id)),
 block AS (
   SELECT rank, shard, b, floor(b * words / blocks) AS low, floor((b + 1) * words / blocks) AS high,
     quota // blocks + CASE WHEN row_number() OVER (PARTITION BY rank, shard ORDER BY md5('7:' || rank || ':' || shard || ':' || b), b) <= quota % blocks THEN 1 ELSE 0 END AS times

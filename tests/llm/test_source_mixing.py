@@ -110,3 +110,21 @@ def test_empty(docs):
     assert m.mix(docs.limit(0)).count() == 0
     blank = m.mix(docs.filter("doc_id IS NULL")).collect()
     assert [(r.size, r.source_size, r.target, r.taken) for r in blank] == [(0, 0, 0.0, 0)]
+
+
+def test_rows_without_id_and_equal_rows_are_dealt_evenly(spark):
+    """Neither a missing id nor one row repeated fills a shard; all rows are there."""
+    many = spark.range(200_000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit("hot").alias("source"),
+        F.when(F.col("id") % 2 == 0, F.lit("the same words")).otherwise(F.concat(F.lit("text "), "id")).alias("text"),
+    )
+    sized = stage(m.sizes(many), "t")
+    assert sized.count() == 200_000 == sized.distinct().count()
+    shards = [r["count"] for r in sized.groupBy(m.shard_of(F.lit(8))).count().collect()]
+    assert len(shards) == 8 and max(shards) < 1.05 * 25_000
+    same = [r["count"] for r in sized.filter("size = 3").groupBy(m.shard_of(F.lit(8))).count().collect()]
+    assert len(same) == 8 and max(same) < 1.05 * 12_500
+    picked = m.block_picks(sized, shard_words=1 << 16)
+    taken = F.aggregate("picks", F.lit(0).cast("long"), lambda n, p: n + (p["end"] - p["start"]) * p["times"])
+    r = picked.agg(F.count("*").alias("n"), F.sum(taken).alias("taken"), F.max("target").alias("target")).first()
+    assert r.n == 200_000 and r.taken == pytest.approx(r.target, rel=0.01)
