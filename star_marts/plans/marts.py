@@ -18,6 +18,8 @@ from star_marts.plans.raw import RawLayer
 from star_marts.session import stage
 from star_marts.sources import Layers
 
+BUCKET_ROWS = 1 << 19  # rows that a bucket has on average, at most
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -27,8 +29,9 @@ class Settings:
     on, unless `county_state` limits the registrations that map zips to counties.
     `facts_by_month` partitions stored facts by a `month_key` (yyyymm); reports read only the months
     that their calendar rows fall in.  `station_buckets` stores session facts, snapshots and matched
-    stations by that many buckets of the station key, so that roll-ups and joins by station move
-    no fact row; a fact in which one station has too many rows for a bucket is stored plainly.
+    stations by at least that many buckets of the station key, so that roll-ups and joins by station
+    move no fact row; a bucket is one task's, so the number doubles until it has `BUCKET_ROWS` or
+    fewer on average.  A fact in which one station has too many rows for a bucket is stored plainly.
     """
 
     calendar_first: dt.date = dt.date(2014, 1, 1)
@@ -79,13 +82,25 @@ class Marts:
 
     def _dimension(self, name: str, df: DataFrame) -> DataFrame:
         """A station dimension, stored in the buckets of its facts."""
-        buckets = self.settings.station_buckets
-        if self.layers is None or buckets is None:
+        if self.layers is None or self.settings.station_buckets is None:
             return self._keep(name, df)
         return self.layers.replace(
-            df, f"marts.{name}", schemas.MARTS.get(name), bucket_by=("station_key", buckets)
+            df, f"marts.{name}", schemas.MARTS.get(name), bucket_by=("station_key", self.station_buckets)
         )
 
+    def _enough_buckets(self, rows: int) -> int:
+        buckets = self.settings.station_buckets
+        while rows > buckets * BUCKET_ROWS:
+            buckets *= 2
+        return buckets
+
+    @cached_property
+    def station_buckets(self) -> int:
+        """Buckets for the sessions or stations of the raw layer, whichever are more: one number for
+        all tables that fits, so that they meet without a shuffle."""
+        raw = self.raw
+        return self._enough_buckets(max(t.count() for t in (raw.sessions, raw.stations, raw.station_feed)))
+
     def _fact(self, name: str, df: DataFrame, key: str | None = None) -> DataFrame:
         """Only stored facts have an identity key: nothing joins on it."""
         if self.layers is None:
@@ -103,11 +118,11 @@ class Marts:
 
     def _buckets(self, fact: DataFrame) -> tuple[str, int] | None:
         """By station, unless one station alone has more than two buckets' fair share of the rows."""
-        buckets = self.settings.station_buckets
-        if buckets is None or "station_key" not in fact.columns:
+        if self.settings.station_buckets is None or "station_key" not in fact.columns:
             return None
         per_station = fact.groupBy("station_key").agg(F.count("*").alias("n"))
         total, most = per_station.agg(F.sum("n"), F.max("n")).first()
+        buckets = max(self.station_buckets, self._enough_buckets(total or 0))
         return None if total and most * buckets > 2 * total else ("station_key", buckets)
 
     # --- county generation --------------------------------------------------------------

@@ -157,6 +157,25 @@ def test_a_hot_station_is_not_stored_in_one_bucket(spark, layers):
     assert marts._buckets(spark.range(5)) is None
 
 
+def test_buckets_grow_with_the_rows(spark, layers, monkeypatch):
+    """A bucket is one task's, so there are more of them for more rows, and as many in all tables."""
+    from star_marts.plans import marts as plans
+
+    monkeypatch.setattr(plans, "BUCKET_ROWS", 200)
+    raw = SampleLayer(spark, SF_DIR)
+    stored = Marts(spark, raw, replace(SAMPLE_SETTINGS, station_buckets=2), layers)
+    assert stored._enough_buckets(400) == 2 and stored._enough_buckets(401) == 4
+    want = stored._enough_buckets(raw.sessions.count())
+    assert stored.station_buckets == want > 8
+    assert stored._buckets(spark.range(200 * want + 1).withColumnRenamed("id", "station_key")) == ("station_key", 2 * want)
+    stations = stored.dim_station_matched
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {layers.name(layers.current('marts.dim_station_matched'))}").collect()}
+    assert described["Num Buckets"] == str(want) and stations.count() > 0
+    plain = Marts(spark, raw, SAMPLE_SETTINGS)
+    report = reports.top_stations_lifetime(stored.fact_station_daily_snapshot, stored.dim_station_matched)
+    assert rows(report) == rows(reports.top_stations_lifetime(plain.fact_station_daily_snapshot, plain.dim_station_matched))
+
+
 def test_reports_of_a_year_read_its_months(spark, layers):
     settings = replace(SAMPLE_SETTINGS, facts_by_month=True)
     marts = Marts(spark, SampleLayer(spark, SF_DIR), settings, layers)
